@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quire.llm import components as p1
 from quire.llm import lookalike as p10
+from quire.llm import spans as p4
 from quire.llm import split as p2
 from quire.session import table
 
@@ -32,6 +33,14 @@ def p2_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return p2.split_oversized(table(spark, sf, "documents"))
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p4.shared_spans(table(spark, sf, "documents"))
+
+
+def p4_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return p4.shared_totals(table(spark, sf, "documents"))
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return p10.lookalike_pairs(table(spark, sf, "documents"))
 
@@ -44,6 +53,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p2_pieces": p2_pieces,
+    "p4_found": p4_found,
+    "p4_totals": p4_totals,
     "p10_found": p10_found,
     "p10_canonical": p10_canonical,
 }
