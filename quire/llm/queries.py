@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import components as p1
+from quire.llm import encoding as p7
 from quire.llm import lookalike as p10
 from quire.llm import spans as p4
 from quire.llm import split as p2
@@ -41,6 +42,19 @@ def p4_totals(spark: SparkSession, sf: str) -> DataFrame:
     return p4.shared_totals(table(spark, sf, "documents"))
 
 
+def _known_words(spark: SparkSession, sf: str) -> frozenset[str]:
+    """The lexicon: a fixed table of one row per language, whatever the size of the collection."""
+    return frozenset(r[0] for r in table(spark, sf, "lexicon").select(F.explode("words")).distinct().collect())
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p7.repair_encoding(table(spark, sf, "documents"), _known_words(spark, sf)).select("doc_id")
+
+
+def p7_restored(spark: SparkSession, sf: str) -> DataFrame:
+    return p7.repair_encoding(table(spark, sf, "documents"), _known_words(spark, sf))
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return p10.lookalike_pairs(table(spark, sf, "documents"))
 
@@ -55,6 +69,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_pieces": p2_pieces,
     "p4_found": p4_found,
     "p4_totals": p4_totals,
+    "p7_found": p7_found,
+    "p7_restored": p7_restored,
     "p10_found": p10_found,
     "p10_canonical": p10_canonical,
 }
