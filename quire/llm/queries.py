@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quire.llm import components as p1
 from quire.llm import encoding as p7
 from quire.llm import lookalike as p10
+from quire.llm import scans as p3
 from quire.llm import spans as p4
 from quire.llm import split as p2
 from quire.session import table
@@ -34,6 +35,23 @@ def p2_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return p2.split_oversized(table(spark, sf, "documents"))
 
 
+def _scan_noise(spark: SparkSession, sf: str, repaired: bool) -> DataFrame:
+    docs, hits = table(spark, sf, "documents"), table(spark, sf, "cluster_hits")
+    lexicon = {r.lang: frozenset(r.words) for r in table(spark, sf, "lexicon").collect()}  # one row per language
+    records = docs.select(F.lit("doc").alias("record_kind"), F.col("doc_id").alias("record_id"), "text", "title").unionAll(
+        hits.select(F.lit("hit").alias("record_kind"), F.col("hit_id").alias("record_id"), "text", "title")
+    )
+    return p3.scan_noise(records, lexicon, p3.common_words(docs, lexicon), repaired)
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _scan_noise(spark, sf, repaired=False).select("record_kind", "record_id").distinct()
+
+
+def p3_repaired(spark: SparkSession, sf: str) -> DataFrame:
+    return _scan_noise(spark, sf, repaired=True).dropDuplicates(["record_kind", "record_id"])
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return p4.shared_spans(table(spark, sf, "documents"))
 
@@ -67,6 +85,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p2_pieces": p2_pieces,
+    "p3_found": p3_found,
+    "p3_repaired": p3_repaired,
     "p4_found": p4_found,
     "p4_totals": p4_totals,
     "p7_found": p7_found,
