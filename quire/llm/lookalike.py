@@ -7,7 +7,6 @@ invisible ones are folded; visible accents, letter case and letters of one scrip
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -50,18 +49,28 @@ def prototypes() -> dict[str, str]:
     return out
 
 
-@lru_cache(1)
-def _folded() -> re.Pattern:
-    return re.compile("[" + "".join(map(re.escape, prototypes())) + "]")
+@lru_cache(4096)
+def _image(c: str) -> str:
+    """Skeleton of one character: decomposed, replaced, decomposed again."""
+    table = prototypes()
+    out = "".join(table.get(x, x) for x in unicodedata.normalize("NFD", table.get(c, c)))
+    return unicodedata.normalize("NFD", out)
 
 
 def skeleton(text: str) -> str:
-    """Skeleton of one text; plain ASCII is its own."""
+    """Skeleton of one text; plain ASCII is its own.
+
+    The few different characters beyond ASCII are replaced one after another. Marks are put into canonical order
+    at the end where the text had any of its own.
+    """
     if text.isascii():
         return text
-    table = prototypes()
-    t = _folded().sub(lambda m: table[m[0]], unicodedata.normalize("NFD", text))
-    return unicodedata.normalize("NFD", t)
+    marks = False
+    for c in {c for c in set(text) if c > "\x7f"}:
+        marks = marks or unicodedata.combining(c) > 0
+        if (new := _image(c)) != c:
+            text = text.replace(c, new)
+    return unicodedata.normalize("NFD", text) if marks else text
 
 
 def canonical(text: str) -> str:
