@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quire.llm import components as p1
 from quire.llm import encoding as p7
 from quire.llm import lookalike as p10
+from quire.llm import nearcopies as p6
 from quire.llm import scans as p3
 from quire.llm import spans as p4
 from quire.llm import split as p2
@@ -60,6 +61,17 @@ def p4_totals(spark: SparkSession, sf: str) -> DataFrame:
     return p4.shared_totals(table(spark, sf, "documents"))
 
 
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    hits = table(spark, sf, "cluster_hits").select(F.col("hit_id").alias("id"), "text")
+    return p6.similar_pairs(hits).select(F.col("a").alias("hit_a"), F.col("b").alias("hit_b"))
+
+
+def p6_groups(spark: SparkSession, sf: str) -> DataFrame:
+    hits = table(spark, sf, "cluster_hits").select(F.col("hit_id").alias("id"), "text")
+    found = p6.near_copies(hits)
+    return found.select(F.col("id").alias("hit_id"), F.col("rep").alias("class_hit"), F.col("group").alias("group_hit"), "links")
+
+
 def _known_words(spark: SparkSession, sf: str) -> frozenset[str]:
     """The lexicon: a fixed table of one row per language, whatever the size of the collection."""
     return frozenset(r[0] for r in table(spark, sf, "lexicon").select(F.explode("words")).distinct().collect())
@@ -89,6 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_repaired": p3_repaired,
     "p4_found": p4_found,
     "p4_totals": p4_totals,
+    "p6_found": p6_found,
+    "p6_groups": p6_groups,
     "p7_found": p7_found,
     "p7_restored": p7_restored,
     "p10_found": p10_found,
