@@ -114,12 +114,12 @@ def _classes(texts: DataFrame, width: int, scratch: Scratch) -> tuple[DataFrame,
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The candidate pairs ``a, b`` whose sets are similar enough."""
+    """The candidate pairs ``a, b`` whose sets are similar enough; rows repeated under one id make no difference."""
     left = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("ga", "gb"))
-    return both.where(common >= _least(threshold / (1 + threshold), F.size("ga") + F.size("gb"))).select("a", "b")
+    return both.where(common >= _least(threshold / (1 + threshold), F.size("ga") + F.size("gb"))).select("a", "b").distinct()
 
 
 def similar_classes(texts: DataFrame, width: int = 3, threshold: float = 0.6) -> tuple[DataFrame, DataFrame]:
@@ -134,7 +134,7 @@ def similar_classes(texts: DataFrame, width: int = 3, threshold: float = 0.6) ->
     reps = members.where("id = rep").select("id")
     n = F.size("grams")
     short = sets.select("id", n.alias("n"), F.slice("grams", 1, n - _least(threshold, n) + 1).alias("first")).join(reps, "id", "left_semi")
-    rows = scratch.cut(short.dropDuplicates(["id"]).select("id", "n", F.posexplode("first").alias("at", "gram")))
+    rows = scratch.cut(short.select("id", "n", F.posexplode("first").alias("at", "gram")))
     big = rows.select("gram", F.col("id").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"))
     small = rows.where(F.col("at") <= F.col("n") - _least(2 * threshold / (1 + threshold), F.col("n"))).select("gram", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
     need = _least(threshold / (1 + threshold), F.col("na") + F.col("nb"))
@@ -142,7 +142,7 @@ def similar_classes(texts: DataFrame, width: int = 3, threshold: float = 0.6) ->
     match = big.join(small, "gram").where(fits & (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= need))
     pairs = scratch.cut(match.select("a", "b").distinct())
     scratch.drop(rows)
-    found = scratch.cut(_verified(pairs, sets.dropDuplicates(["id"]), threshold))
+    found = scratch.cut(_verified(pairs, sets, threshold))
     return members, found
 
 
@@ -227,12 +227,12 @@ def near_copies(texts: DataFrame, width: int = 5, threshold: float = 0.8) -> Dat
     scratch = Scratch(texts.sparkSession, "variants")
     members, sets = _classes(texts, width, scratch)
     reps = members.where("id = rep").select("id")
-    one = sets.dropDuplicates(["id"]).join(reps, "id", "left_semi")
+    one = sets.join(reps, "id", "left_semi")
     index = scratch.cut(one.mapInArrow(_variants(threshold), "key long, id long").distinct())
     shared = index.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
     used = scratch.cut(index.join(shared, "key"))
     pairs = scratch.cut(used.select("key", F.col("id").alias("a")).join(used.select("key", F.col("id").alias("b")), "key").where("a > b").select("a", "b").distinct())
-    links = scratch.cut(_verified(pairs, sets.dropDuplicates(["id"]), threshold))
+    links = scratch.cut(_verified(pairs, sets, threshold))
     groups = components(links.select(F.format_string("%020d", "a").alias("src"), F.format_string("%020d", "b").alias("dst")))
     groups = groups.select(F.col("node").cast("long").alias("rep"), F.col("group_node").cast("long").alias("group"))
     degree = links.select("a").unionAll(links.select("b")).groupBy(F.col("a").alias("rep")).agg(F.count("*").alias("links"))
