@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from quire.llm import components as p1
 from quire.llm import encoding as p7
 from quire.llm import lookalike as p10
+from quire.llm import mixing as p9
 from quire.llm import nearcopies as p6
+from quire.llm import packing as p8
 from quire.llm import scans as p3
 from quire.llm import spans as p4
 from quire.llm import split as p2
-from quire.session import table
+from quire.llm.tokens import token_counts
+from quire.session import Scratch, table
 
 
 def _rendered(side: str) -> F.Column:
@@ -85,6 +88,27 @@ def p7_restored(spark: SparkSession, sf: str) -> DataFrame:
     return p7.repair_encoding(table(spark, sf, "documents"), _known_words(spark, sf))
 
 
+def _sized(spark: SparkSession, sf: str) -> DataFrame:
+    return Scratch(spark, "tokens").cut(token_counts(table(spark, sf, "documents")))
+
+
+def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
+    return p8.fill_containers(_sized(spark, sf).select("doc_id", "n_tokens"))
+
+
+def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
+    bins = p8_containers(spark, sf).groupBy("container").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("k"))
+    return bins.agg(F.count("*").alias("containers"), F.ceil(F.sum("n") / p8.CAPACITY).alias("least_containers"), F.max("n").alias("most_tokens"), F.max("k").alias("most_segments"), (F.sum("n") / F.count("*") / p8.CAPACITY).alias("fill"))
+
+
+def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return p9.mix_sources(_sized(spark, sf), table(spark, sf, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return p9.actual_shares(p9_mix(spark, sf), table(spark, sf, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return p10.lookalike_pairs(table(spark, sf, "documents"))
 
@@ -105,6 +129,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_groups": p6_groups,
     "p7_found": p7_found,
     "p7_restored": p7_restored,
+    "p8_containers": p8_containers,
+    "p8_fill": p8_fill,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
     "p10_found": p10_found,
     "p10_canonical": p10_canonical,
 }
