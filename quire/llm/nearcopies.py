@@ -134,14 +134,15 @@ def similar_classes(texts: DataFrame, width: int = 3, threshold: float = 0.6) ->
     reps = members.where("id = rep").select("id")
     n = F.size("grams")
     short = sets.select("id", n.alias("n"), F.slice("grams", 1, n - _least(threshold, n) + 1).alias("first")).join(reps, "id", "left_semi")
-    rows = scratch.cut(short.select("id", "n", F.posexplode("first").alias("at", "gram")))
+    rows = short.select("id", "n", F.posexplode("first").alias("at", "gram")).repartition("gram")  # one exchange for both sides
     big = rows.select("gram", F.col("id").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"))
-    small = rows.where(F.col("at") <= F.col("n") - _least(2 * threshold / (1 + threshold), F.col("n"))).select("gram", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
+    small = rows.select("gram", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
     need = _least(threshold / (1 + threshold), F.col("na") + F.col("nb"))
     fits = ((F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") > F.col("b")))) & (F.col("nb") >= _least(threshold, F.col("na")))
-    match = big.join(small, "gram").where(fits & (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= need))
+    early = F.col("ib") <= F.col("nb") - _least(2 * threshold / (1 + threshold), F.col("nb"))
+    # One condition on both sides: split, it would be pushed below the exchange and make two of it.
+    match = big.join(small, "gram").where(F.when(fits, early & (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= need)))
     pairs = scratch.cut(match.select("a", "b").distinct())
-    scratch.drop(rows)
     found = scratch.cut(_verified(pairs, sets, threshold))
     return members, found
 
