@@ -107,6 +107,38 @@ def _carry(frames):
     yield pd.DataFrame(out, columns=["pid", "c_entity", "c_s", "c_e"]).astype({"c_s": "Int64", "c_e": "Int64"})
 
 
+def _labels(frames):
+    """Label (first start) and furthest reach so far of the local island of every row of a sorted partition."""
+    pid = TaskContext.get().partitionId()
+    cur = None
+    for f in frames:
+        labels, reaches = [], []
+        for ent, s, reach in f[["entity", "s", "reach"]].itertuples(index=False, name=None):
+            cur = (ent, cur[1], max(cur[2], reach)) if cur is not None and cur[0] == ent and s <= cur[2] else (ent, s, reach)
+            labels.append(cur[1])
+            reaches.append(cur[2])
+        yield f.assign(_pid=pid, _label=labels, _reach=reaches)
+
+
+def island_labels(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``island``: equal for rows of one entity that are connected through overlapping or touching reaches.
+
+    ``rows``: ``entity`` string, ``s`` long and ``reach`` long (not null, ``reach >= s``), and further columns. A row
+    belongs to the island before it if its ``s`` is at most the furthest ``reach`` there. The same scan as in
+    ``periods_and_gaps``: no entity is gathered.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartitionByRange(n, "entity", "s", "reach").sortWithinPartitions("entity", "s", "reach")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    local = Scratch(rows.sparkSession, "islands").cut(ordered.mapInPandas(_labels, f"{schema}, _pid int, _label long, _reach long"))
+    parts = local.groupBy("_pid").agg(F.min("entity").alias("first_entity"), F.max(F.struct("entity", "_label", "_reach")).alias("last"))
+    parts = parts.coalesce(1).select(F.col("_pid").alias("pid"), "first_entity", "last.entity", F.col("last._label").alias("s"), F.col("last._reach").alias("e"))
+    carry = parts.mapInPandas(_carry, "pid int, c_entity string, c_s long, c_e long")
+    joined = local.join(F.broadcast(carry), F.col("_pid") == F.col("pid"), "left")
+    label = F.when((F.col("entity") == F.col("c_entity")) & (F.col("_label") <= F.col("c_e")), F.col("c_s")).otherwise(F.col("_label"))
+    return joined.select(*rows.columns, label.alias("island"))
+
+
 def hit_spans(hits: DataFrame) -> DataFrame:
     """Span of every hit: two numbers in ``encoded_indices``, else the offsets in ``node``.
 

@@ -1,4 +1,4 @@
-"""The queries of the core and their SQL."""
+"""The queries of the core, each over whole tables."""
 
 from __future__ import annotations
 
@@ -7,37 +7,249 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators import intervals
+from quire.functions import alphabet, nodes
+from quire.operators import align, blocks, clusters, combine, fill, graph, hsp, intervals, separate
+from quire.operators import nodes as merging
+from quire.plans.pipeline import ReuseConfig, TextReuse
 from quire.session import table
 
+BLOCK, KMER, SHARED_KMER, LEAST_RUN = 500, 20, 30, 50
+BOUNDS = {"min_length": 100, "max_length": 700, "min_score": 0.8, "ranges": "0,0.85,300;300,0.9,600"}
+
+
+def _docs(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").withColumn("doc_id", F.col("doc_id").cast("string"))
+
+
+def _encoded(spark: SparkSession, sf: str, name: str = "eng") -> DataFrame:
+    return blocks.encoded_blocks(blocks.split_blocks(_docs(spark, sf)), name).select("doc_id", "enc")
+
+
+def _hits(spark: SparkSession, sf: str) -> DataFrame:
+    return fill.unique_hits(table(spark, sf, "cluster_hits"))
+
+
+def _unfilled(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "clusters_unfilled").select("cluster_id", F.explode("nodes").alias("n"))
+    return rows.select("cluster_id", "n.doc_id", "n.s", "n.e").where("cluster_id is not null and doc_id is not null and s is not null and e is not null")
+
+
+def _hit_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    own = _hits(spark, sf).select("cluster_id", "hit_id", nodes.parse_node(F.col("node")).alias("n"))
+    return own.select("cluster_id", "n.doc_id", "n.s", "n.e", "hit_id").where("cluster_id is not null and doc_id is not null and s is not null and e is not null")
+
+
+def doc_scan_nonempty(spark: SparkSession, sf: str) -> DataFrame:
+    return blocks.nonempty(_docs(spark, sf)).select("doc_id", F.length("text").cast("long").alias("chars"))
+
+
+def doc_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    return blocks.with_metadata(_docs(spark, sf)).select("doc_id", "meta")
+
+
+def source_text_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return blocks.source_counts(_docs(spark, sf))
+
+
+def split_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    cut = blocks.split_blocks(_docs(spark, sf), BLOCK)
+    return cut.select("block_id", "doc_id", F.col("block_start").cast("long").alias("block_start"), F.col("block_end").cast("long").alias("block_end"), F.md5("text").alias("text_md5"))
+
+
+def _encode(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        return _encoded(spark, sf, name).select("doc_id", F.length("enc").cast("long").alias("letters"), F.md5("enc").alias("enc_md5"))
+
+    return query
+
+
+def encode_mask(spark: SparkSession, sf: str) -> DataFrame:
+    return blocks.nonempty(_docs(spark, sf)).select("doc_id", F.md5(alphabet.mask(F.col("text"))).alias("mask_md5"))
+
+
+def decode_reverse(spark: SparkSession, sf: str) -> DataFrame:
+    return _encoded(spark, sf).select("doc_id", F.md5(alphabet.unencode(F.col("enc"))).alias("text_md5"))
+
+
+def preprocess(spark: SparkSession, sf: str) -> DataFrame:
+    return blocks.nonempty(_docs(spark, sf)).select("doc_id", F.md5(alphabet.normalised(F.col("text"))).alias("text_md5"))
+
+
+def gi_numbering(spark: SparkSession, sf: str) -> DataFrame:
+    return blocks.numbered(blocks.encoded_blocks(blocks.split_blocks(_docs(spark, sf))).select("block_id"), "block_id")
+
+
+def kmer_df(spark: SparkSession, sf: str) -> DataFrame:
+    return align.kmer_documents(_encoded(spark, sf), KMER)
+
+
+def shared_kmer_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return align.shared_kmers(_encoded(spark, sf), SHARED_KMER)
+
+
+def maximal_exact_runs(spark: SparkSession, sf: str) -> DataFrame:
+    one = align.classes(_encoded(spark, sf)).where("doc_id = rep").select("doc_id", "enc")
+    return align.exact_runs(one, LEAST_RUN, KMER)
+
+
+def gapped_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return TextReuse(ReuseConfig(alphabet="eng")).alignments(_encoded(spark, sf))
+
+
+def hsp_filters(spark: SparkSession, sf: str) -> DataFrame:
+    return hsp.filter_hsp(table(spark, sf, "hsp"), **BOUNDS)
+
+
+def hsp_passages(spark: SparkSession, sf: str) -> DataFrame:
+    return hsp.passages(table(spark, sf, "hsp")).groupBy("doc_id", "s", "e").agg(F.count("*").alias("n"))
+
+
+def node_merge_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return merging.mergeable_pairs(hsp.passages(table(spark, sf, "hsp")))
+
+
+def node_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    return merging.centroids(hsp.passages(hsp.filter_hsp(table(spark, sf, "hsp"))))
+
+
+def _edge_names(spark: SparkSession, sf: str) -> DataFrame:
+    name = lambda x: nodes.node_string(F.col(f"{x}.doc_id"), F.col(f"{x}.s"), F.col(f"{x}.e")).alias(x)
+    return table(spark, sf, "edges").select(name("src"), name("dst"))
+
+
+def connected_components(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.connected_components(_edge_names(spark, sf))
+
+
+def component_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    parts = connected_components(spark, sf)
+    ids = blocks.numbered(parts.select("component").distinct(), "component", "n")
+    return parts.join(ids, "component").select("node", F.concat(F.lit("cluster_"), (F.col("n") - 1).cast("string")).alias("cluster_id"))
+
+
+def cluster_deoverlap(spark: SparkSession, sf: str) -> DataFrame:
+    return clusters.without_overlaps(_unfilled(spark, sf).withColumnRenamed("cluster_id", "cluster")).withColumnRenamed("cluster", "cluster_id")
+
+
+def cluster_average_length(spark: SparkSession, sf: str) -> DataFrame:
+    return clusters.average_length(_unfilled(spark, sf).withColumnRenamed("cluster_id", "cluster")).withColumnRenamed("cluster", "cluster_id")
+
+
+def clusters_from_hsp(spark: SparkSession, sf: str) -> DataFrame:
+    return clusters.clusters_of(hsp.filter_hsp(table(spark, sf, "hsp")))
+
+
+def clusters_in_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    found = hsp.filter_hsp(table(spark, sf, "hsp"))
+    slices = blocks.numbered(found.select("q_id").distinct(), "q_id")
+    return clusters.clusters_in_rounds(found, slices, per_slice=500)
+
+
+def fill_text_spans(spark: SparkSession, sf: str) -> DataFrame:
+    edges = table(spark, sf, "edges")
+    own = edges.select("src.*").unionAll(edges.select("dst.*")).where("doc_id is not null and s is not null and e is not null").distinct()
+    filled = fill.fill_text(own, _docs(spark, sf))
+    known = lambda c, v: F.coalesce(F.col(c), F.lit(v)).alias(c)
+    return filled.withColumn("text_md5", F.md5("text")).select("doc_id", "s", "e", known("text_md5", ""), known("i0", -1), known("i1", -1))
+
+
+def cluster_metadata_join(spark: SparkSession, sf: str) -> DataFrame:
+    own = _hits(spark, sf).select("hit_id", "doc_id")
+    return fill.with_metadata(own, _docs(spark, sf).select("doc_id", "title", "source", "lang"))
+
+
+def cluster_size_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return fill.cluster_sizes(_hits(spark, sf), 3)
+
+
+def filled_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    filled = fill.with_metadata(fill.fill_text(_unfilled(spark, sf), _docs(spark, sf)), _docs(spark, sf).select("doc_id", "title", "issue_date"))
+    return fill.filled_clusters(filled)
+
+
+def interval_links(spark: SparkSession, sf: str) -> DataFrame:
+    return combine.interval_links(_hit_nodes(spark, sf), _unfilled(spark, sf))
+
+
+def link_choice(spark: SparkSession, sf: str) -> DataFrame:
+    return combine.chosen_links(table(spark, sf, "links"))
+
+
+def _new_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """The filled clusters as a later run would name them."""
+    return _hit_nodes(spark, sf).withColumn("cluster_id", F.regexp_replace("cluster_id", "^cluster_", "new_")).select("cluster_id", "doc_id", "s", "e")
+
+
+def unlinked_new(spark: SparkSession, sf: str) -> DataFrame:
+    return combine.unlinked(_new_clusters(spark, sf).select("cluster_id").distinct(), table(spark, sf, "links"), "later")
+
+
+def combined_hits(spark: SparkSession, sf: str) -> DataFrame:
+    return combine.combine(_unfilled(spark, sf), _new_clusters(spark, sf), table(spark, sf, "links"), "later")
+
+
+def levenshtein_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    own = separate.candidates(_hits(spark, sf), 2).select("hit_id", "cluster_id", "text")
+    return separate.levenshtein_similar(own).withColumn("distance", F.col("distance").cast("long"))
+
+
+def separation(spark: SparkSession, sf: str) -> DataFrame:
+    return separate.separate(_hits(spark, sf), min_count=5)
+
+
+def unique_hits(spark: SparkSession, sf: str) -> DataFrame:
+    return _hits(spark, sf).select("hit_id", "cluster_id", "doc_id", "node", "written_at")
+
+
+def reuse_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents to filled clusters."""
+    docs = _docs(spark, sf).select("doc_id", "text", "title", "issue_date", "lang", "source")
+    hits = TextReuse(ReuseConfig(alphabet="eng", min_length=50)).run(docs)["hits"]
+    return hits.select("cluster_id", "doc_id", "s", "e", "text", "i0", "i1", "title", "issue_date", "lang", "source")
+
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     found = intervals.periods_and_gaps(intervals.hit_spans(table(spark, sf, "cluster_hits")))
     return found.select(F.col("entity").alias("doc_id"), F.col("kind").alias("span_kind"), F.col("s").cast("int").alias("s"), F.col("e").cast("int").alias("e"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p5_found": p5_found}
-
-_SPANS = r"""
-h AS (
-  SELECT coalesce(doc_id, nullif(regexp_extract(node, '^\s*(.*?)___', 1), '')) AS doc_id,
-    CASE WHEN len(encoded_indices) = 2 THEN try_cast(trim(encoded_indices[1]) AS INT) END AS e1,
-    CASE WHEN len(encoded_indices) = 2 THEN try_cast(trim(encoded_indices[2]) AS INT) END AS e2,
-    try_cast(nullif(regexp_extract(node, '___\s*(\d+)_(\d+)\s*$', 1), '') AS INT) AS n1,
-    try_cast(nullif(regexp_extract(node, '___\s*(\d+)_(\d+)\s*$', 2), '') AS INT) AS n2
-  FROM cluster_hits),
-w AS (SELECT doc_id, CASE WHEN e1 IS NOT NULL AND e2 IS NOT NULL THEN e1 ELSE n1 END AS a,
-        CASE WHEN e1 IS NOT NULL AND e2 IS NOT NULL THEN e2 ELSE n2 END AS b FROM h),
-spans AS (SELECT DISTINCT doc_id, least(a, b) AS s, greatest(a, b) AS e FROM w WHERE doc_id IS NOT NULL AND a IS NOT NULL AND b IS NOT NULL)
-"""
-
-SQL: dict[str, str] = {
-    "p5_found": f"""
-WITH {_SPANS},
-m AS (SELECT *, max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM spans),
-i AS (SELECT *, sum(CASE WHEN before >= s THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM m),
-p AS (SELECT doc_id, island, min(s) AS s, max(e) AS e FROM i GROUP BY doc_id, island),
-g AS (SELECT doc_id, lag(e) OVER (PARTITION BY doc_id ORDER BY s) AS s, s AS e FROM p)
-SELECT doc_id, 'period' AS span_kind, s, e FROM p UNION ALL SELECT doc_id, 'gap', s, e FROM g WHERE s IS NOT NULL
-""",
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "doc_scan_nonempty": doc_scan_nonempty,
+    "doc_metadata": doc_metadata,
+    "source_text_counts": source_text_counts,
+    "split_blocks": split_blocks,
+    "encode_eng": _encode("eng"),
+    "encode_fin": _encode("fin"),
+    "encode_eng_space": _encode("eng_space"),
+    "encode_mask": encode_mask,
+    "decode_reverse": decode_reverse,
+    "preprocess": preprocess,
+    "gi_numbering": gi_numbering,
+    "kmer_df": kmer_df,
+    "shared_kmer_pairs": shared_kmer_pairs,
+    "maximal_exact_runs": maximal_exact_runs,
+    "gapped_alignment": gapped_alignment,
+    "hsp_filters": hsp_filters,
+    "hsp_passages": hsp_passages,
+    "node_merge_pairs": node_merge_pairs,
+    "node_centroids": node_centroids,
+    "connected_components": connected_components,
+    "component_numbers": component_numbers,
+    "cluster_deoverlap": cluster_deoverlap,
+    "cluster_average_length": cluster_average_length,
+    "clusters_from_hsp": clusters_from_hsp,
+    "clusters_in_rounds": clusters_in_rounds,
+    "unique_hits": unique_hits,
+    "fill_text_spans": fill_text_spans,
+    "cluster_metadata_join": cluster_metadata_join,
+    "cluster_size_filter": cluster_size_filter,
+    "filled_clusters": filled_clusters,
+    "interval_links": interval_links,
+    "link_choice": link_choice,
+    "unlinked_new": unlinked_new,
+    "combined_hits": combined_hits,
+    "levenshtein_pairs": levenshtein_pairs,
+    "separation": separation,
+    "reuse_pipeline": reuse_pipeline,
+    "p5_found": p5_found,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -48,6 +49,11 @@ class Scratch:
         self._paths[id(out)] = path
         return out
 
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of finished jobs now, not when the driver happens to collect garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables made by ``cut``; frames built on them can't be read afterwards."""
         jvm = self.spark._jvm
