@@ -113,13 +113,22 @@ def _classes(texts: DataFrame, width: int, scratch: Scratch) -> tuple[DataFrame,
     return members, sets.select("id", "grams")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+#: Passes over the candidate pairs: each moves that share of the sets, so fewer files exist at once.
+PASSES = 2
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     """The candidate pairs ``a, b`` whose sets are similar enough; rows repeated under one id make no difference."""
-    left = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
-    both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("ga", "gb"))
-    return both.where(common >= _least(threshold / (1 + threshold), F.size("ga") + F.size("gb"))).select("a", "b").distinct()
+    parts = []
+    for k in range(PASSES):
+        mine = lambda c: F.pmod(F.xxhash64(F.lit(1), F.col(c)), F.lit(PASSES)) == k  # noqa: B023, E731
+        left = sets.where(mine("id")).select(F.col("id").alias("a"), F.col("grams").alias("ga"))
+        both = pairs.where(mine("a")).join(left, "a").join(right, "b")
+        scratch.release()
+        parts.append(scratch.cut(both.where(common >= _least(threshold / (1 + threshold), F.size("ga") + F.size("gb"))).select("a", "b").distinct()))
+    return parts[0].unionAll(parts[1])
 
 
 def similar_classes(texts: DataFrame, width: int = 3, threshold: float = 0.6) -> tuple[DataFrame, DataFrame]:
@@ -134,6 +143,7 @@ def similar_classes(texts: DataFrame, width: int = 3, threshold: float = 0.6) ->
     reps = members.where("id = rep").select("id")
     n = F.size("grams")
     short = sets.select("id", n.alias("n"), F.slice("grams", 1, n - _least(threshold, n) + 1).alias("first")).join(reps, "id", "left_semi")
+    short = scratch.cut(short)
     rows = short.select("id", "n", F.posexplode("first").alias("at", "gram")).repartition("gram")  # one exchange for both sides
     big = rows.select("gram", F.col("id").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"))
     small = rows.select("gram", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
@@ -143,8 +153,8 @@ def similar_classes(texts: DataFrame, width: int = 3, threshold: float = 0.6) ->
     # One condition on both sides: split, it would be pushed below the exchange and make two of it.
     match = big.join(small, "gram").where(F.when(fits, early & (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= need)))
     pairs = scratch.cut(match.select("a", "b").distinct())
-    found = scratch.cut(_verified(pairs, sets, threshold))
-    return members, found
+    scratch.drop(short)
+    return members, _verified(pairs, sets, threshold, scratch)
 
 
 def similar_pairs(texts: DataFrame, width: int = 3, threshold: float = 0.6) -> DataFrame:
@@ -233,7 +243,7 @@ def near_copies(texts: DataFrame, width: int = 5, threshold: float = 0.8) -> Dat
     shared = index.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
     used = scratch.cut(index.join(shared, "key"))
     pairs = scratch.cut(used.select("key", F.col("id").alias("a")).join(used.select("key", F.col("id").alias("b")), "key").where("a > b").select("a", "b").distinct())
-    links = scratch.cut(_verified(pairs, sets, threshold))
+    links = _verified(pairs, sets, threshold, scratch)
     groups = components(links.select(F.format_string("%020d", "a").alias("src"), F.format_string("%020d", "b").alias("dst")))
     groups = groups.select(F.col("node").cast("long").alias("rep"), F.col("group_node").cast("long").alias("group"))
     degree = links.select("a").unionAll(links.select("b")).groupBy(F.col("a").alias("rep")).agg(F.count("*").alias("links"))
