@@ -25,14 +25,18 @@ def parse_node(node: Column) -> Column:
 
 def natural_key(name: Column) -> Column:
     """Key for natural order: runs of digits compare as numbers, the rest as text."""
-    tokens = F.regexp_extract_all(name, F.lit(r"(\d+|\D+)"), 1)
-    return F.transform(tokens, lambda t: F.struct(F.when(t.rlike(r"^\d"), F.concat(F.lpad(F.length(F.ltrim(F.lit("0"), t)).cast("string"), 5, "0"), F.ltrim(F.lit("0"), t))).alias("n"), t.alias("t")))
+    tokens = F.regexp_extract_all(name, F.lit(r"(\d+|\D+)"), F.lit(1))
+
+    def key(t: Column) -> Column:
+        number = F.regexp_replace(t, "^0+(?=.)", "")
+        return F.struct(F.when(t.rlike(r"^\d"), F.concat(F.lpad(F.length(number).cast("string"), 5, "0"), number)).alias("n"), t.alias("t"))
+
+    return F.transform(tokens, key)
 
 
 def old_form(node: Column) -> Column:
     """A node id of the older form ``a_b_c___s_e`` as ``a__b_c___s_e``; an ``_ext`` mark moves into the document."""
     base, span = F.substring_index(node, "___", 1), F.substring_index(node, "___", -1)
-    base = F.when(F.length(base) - F.length(F.replace(base, F.lit("_"))) == 2, F.regexp_replace(base, "_", "__")).otherwise(base)
-    base = F.when(F.length(F.substring_index(node, "___", 1)) - F.length(F.replace(F.substring_index(node, "___", 1), F.lit("_"))) == 2, F.regexp_replace(F.substring_index(node, "___", 1), "^([^_]*)_([^_]*)_([^_]*)$", "$1__$2_$3")).otherwise(base)
+    base = F.regexp_replace(base, "^([^_]*)_([^_]*)_([^_]*)$", "$1__$2_$3")
     marked = F.contains(node, F.lit("ext"))
     return F.concat(F.when(marked, F.concat(base, F.lit("_ext"))).otherwise(base), F.lit("___"), F.when(marked, F.substring_index(span, "_ext", 1)).otherwise(span))

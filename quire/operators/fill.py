@@ -21,7 +21,7 @@ def fill_text(nodes: DataFrame, docs: DataFrame, alphabet: str = "eng", mode: st
     offsets of a document's letters are found once per ``TOGETHER`` of its passages, so the passages of one document
     are dealt to groups of about that size.
     """
-    extra = [c for c in nodes.columns if c not in ("doc_id", "s", "e")]
+    extra = [c for c in nodes.columns if c not in ("doc_id", "s", "e", "text", "i0", "i1")]
     counts = nodes.groupBy("doc_id").agg(F.count("*").alias("_n"))
     groups = F.ceil(F.col("_n") / TOGETHER)
     dealt = nodes.join(counts, "doc_id").withColumn("_g", F.pmod(F.xxhash64("s", "e", *extra), groups))
