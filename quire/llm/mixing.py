@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections import deque
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators.scan import running_sum
@@ -115,16 +115,15 @@ def mix_sources(texts: DataFrame, targets: DataFrame, total: int | None = None,
     """The chosen documents: ``source, doc_id, copies, n_tokens``.
 
     ``texts``: ``doc_id, source, digest`` (of the text), ``n_tokens``; ``targets``: ``source, target_share,
-    max_repeats`` (a small table, one row per source; null or repeated sources and null or negative values are
-    errors). Texts whose source is null or has no target take no part; a target without texts gets nothing. Equal
+    max_repeats`` (a small table; rows with a null or a negative value are left out, and of several rows of a source
+    the one of the largest share counts). Texts whose source is null or has no target take no part; a target without texts gets nothing. Equal
     texts of a source are one text, shown by its least ``doc_id``. No text is used more than ``max_repeats`` times
     for a source. Further columns are ignored; without texts there are no rows.
     """
     spark = texts.sparkSession
     scratch = Scratch(spark, "mixing")
-    wanted = {r.source: (r.target_share, r.max_repeats) for r in targets.select("source", "target_share", "max_repeats").collect()}
-    if None in wanted or any(a is None or b is None or a < 0 or b < 0 for a, b in wanted.values()):
-        raise ValueError("targets must name a source, a share and a number of repeats")
+    good = targets.select("source", "target_share", "max_repeats").where("source is not null and target_share >= 0 and max_repeats >= 0")
+    wanted = {r.source: (r.target_share, r.max_repeats) for r in sorted(good.collect(), key=lambda r: (r.target_share, r.max_repeats))}
     of_source = texts.where(F.col("source").isin(list(wanted)) & (F.col("n_tokens") > 0)).groupBy("digest", "source").agg(F.min("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"))
     # At most one entry per source and text.
     lines = of_source.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("source", "doc_id"))).alias("docs"), F.max("n_tokens").alias("n_tokens"))
@@ -149,7 +148,7 @@ def mix_sources(texts: DataFrame, targets: DataFrame, total: int | None = None,
 def actual_shares(mix: DataFrame, targets: DataFrame) -> DataFrame:
     """Per target: its share, the share really reached, tokens, documents and the most copies of one document."""
     sums = mix.groupBy("source").agg(F.sum(F.col("copies") * F.col("n_tokens")).alias("tokens"), F.count("*").alias("documents"), F.max("copies").alias("most_copies"))
-    total = sums.agg(F.sum("tokens").alias("total"))
-    rows = targets.select("source", "target_share", "max_repeats").join(sums, "source", "left").join(F.broadcast(total))
+    sums = sums.withColumn("total", F.sum("tokens").over(Window.partitionBy(F.lit(0))))  # one row per target
+    rows = targets.select("source", "target_share", "max_repeats").join(sums, "source", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     return rows.select("source", "target_share", F.coalesce(F.col("tokens") / F.col("total"), F.lit(0.0)).alias("actual_share"), zero("tokens"), zero("documents"), zero("most_copies"), "max_repeats")
