@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Folder that all executors share, as named by ``spark.checkpoint.dir``.
 
@@ -41,19 +43,22 @@ class Scratch:
         self._paths: dict[int, str] = {}
 
     def cut(self, df: DataFrame) -> DataFrame:
-        """Write ``df`` and return the table read back, under the same schema."""
+        """Write ``df`` and return the table read back, under the same schema.
+
+        The shuffle files of the write are deleted at its end: nothing reads them again.
+        """
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(out)] = path
         return out
 
-    def release(self) -> None:
-        """Let Spark delete the shuffle files of finished jobs now, not when the driver happens to collect garbage."""
-        gc.collect()
-        self.spark._jvm.System.gc()
-
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables made by ``cut``; frames built on them can't be read afterwards."""
         jvm = self.spark._jvm
