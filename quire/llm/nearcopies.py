@@ -126,7 +126,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float, scratch: Scra
         mine = lambda c: F.pmod(F.xxhash64(F.lit(1), F.col(c)), F.lit(PASSES)) == k  # noqa: B023, E731
         left = sets.where(mine("id")).select(F.col("id").alias("a"), F.col("grams").alias("ga"))
         both = pairs.where(mine("a")).join(left, "a").join(right, "b")
-        scratch.release()
         parts.append(scratch.cut(both.where(common >= _least(threshold / (1 + threshold), F.size("ga") + F.size("gb"))).select("a", "b").distinct()))
     return parts[0].unionAll(parts[1])
 
@@ -143,8 +142,8 @@ def similar_classes(texts: DataFrame, width: int = 3, threshold: float = 0.6) ->
     reps = members.where("id = rep").select("id")
     n = F.size("grams")
     short = sets.select("id", n.alias("n"), F.slice("grams", 1, n - _least(threshold, n) + 1).alias("first")).join(reps, "id", "left_semi")
-    short = scratch.cut(short)
-    rows = short.select("id", "n", F.posexplode("first").alias("at", "gram")).repartition("gram")  # one exchange for both sides
+    table = scratch.cut(short.select("id", "n", F.posexplode("first").alias("at", "gram")))
+    rows = table.repartition("gram")  # one exchange for both sides
     big = rows.select("gram", F.col("id").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"))
     small = rows.select("gram", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
     need = _least(threshold / (1 + threshold), F.col("na") + F.col("nb"))
@@ -153,7 +152,7 @@ def similar_classes(texts: DataFrame, width: int = 3, threshold: float = 0.6) ->
     # One condition on both sides: split, it would be pushed below the exchange and make two of it.
     match = big.join(small, "gram").where(F.when(fits, early & (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= need)))
     pairs = scratch.cut(match.select("a", "b").distinct())
-    scratch.drop(short)
+    scratch.drop(table)
     return members, _verified(pairs, sets, threshold, scratch)
 
 
