@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, wherever the driver has it from."""
+    context = spark.sparkContext
+    if getattr(context, "_quire_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    file = Path(tempfile.mkdtemp(prefix="quire-")) / "quire.zip"
+    with zipfile.ZipFile(file, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, Path(root.name) / p.relative_to(root))
+    context.addPyFile(str(file))
+    context._quire_shipped = True
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Folder that all executors share, as named by ``spark.checkpoint.dir``.
 

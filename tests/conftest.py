@@ -19,4 +19,7 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    from quire.session import ship
+
+    ship(session)
     return session
