@@ -130,6 +130,8 @@ class Reader:
         self.words = {k: v | {w for lang, w in common if lang == k} for k, v in lexicon.items()}
         self.tries = {k: Trie(v) for k, v in self.words.items()}
         self.cache: dict[tuple[str, str], tuple[str | None, bool]] = {}
+        self.near: dict[tuple[str, str], str | None] = {}
+        self.parts: dict[tuple[str, str, bool], bool] = {}
 
     def language(self, words: set[str]) -> str | None:
         """Language with most of the words; None if no more than two are known."""
@@ -152,8 +154,28 @@ class Reader:
             self.cache[key] = (best, sure)
         return self.cache[key]
 
-    def signs(self, text: str, title: str | None) -> dict:
-        """What is noise in one text: furniture, broken words, misread words (surely, or by accents alone)."""
+    def only_near(self, lang: str, token: str) -> str | None:
+        """The one known word within the bound of any edits, if there is just one."""
+        key = (lang, token)
+        if key not in self.near:
+            if len(self.near) > 300_000:
+                self.near.clear()
+            found = self.tries[lang].search(token, CONFUSIONS, BOUND, any_edit=True)
+            self.near[key] = next(iter(found)) if len(found) == 1 else None
+        return self.near[key]
+
+    def part_of_word(self, lang: str, token: str, first: bool) -> bool:
+        """Whether a token at the edge of a cut text may be the end (``first``) or the beginning of a known word."""
+        key = (lang, token, first)
+        if key not in self.parts:
+            self.parts[key] = any(w.endswith(token) if first else w.startswith(token) for w in self.words[lang])
+        return self.parts[key]
+
+    def signs(self, text: str, title: str | None, cut: bool = False) -> dict:
+        """What is noise in one text: furniture, broken words, misread words (surely, or by accents alone).
+
+        ``cut``: the text was cut out of another, so its first and last word may be incomplete.
+        """
         cuts = furniture(text, title)
         body = _without(text, cuts)
         lang = self.language(set(_TOKEN.findall(body.lower())))
@@ -172,6 +194,8 @@ class Reader:
                 lost = {t for t, (w, _) in guess.items() if w is None}
                 for k, t in enumerate(tokens):
                     if t in guess and t not in lost:
+                        if cut and k in (0, len(tokens) - 1) and self.part_of_word(lang, t, k == 0):
+                            continue
                         if lost and sum(x in lost for x in tokens[max(0, k - 6) : k + 7]) > 1:
                             continue  # foreign words around it
                         w, sure = guess[t]
@@ -195,9 +219,9 @@ class Reader:
         """Whether a text has a sign of a scan; a single lost accent is a spelling."""
         return bool(found["furniture"]) or found["broken"] > 0 or found["misread"] > 0 or found["accents"] > 1
 
-    def repair(self, text: str, title: str | None) -> tuple[str, dict]:
+    def repair(self, text: str, title: str | None, cut: bool = False) -> tuple[str, dict]:
         """The text in continuous paragraphs, and what was found; a text without noise comes back reflowed only."""
-        found = self.signs(text, title)
+        found = self.signs(text, title, cut)
         lang = found["lang"]
         known = self.words.get(lang, frozenset())
         body = _without(text, found["furniture"])
@@ -214,8 +238,7 @@ class Reader:
                 if low in wrong:
                     new = self._in_context(lang, low, here)
                 elif len(low) > 4 and low.isalpha() and low not in known:
-                    near = self.tries[lang].search(low, CONFUSIONS, BOUND, any_edit=True)
-                    new = next(iter(near)) if len(near) == 1 else None
+                    new = self.only_near(lang, low)
                 else:
                     return m[0]
                 if not new:
@@ -287,7 +310,8 @@ def common_words(docs: DataFrame, lexicon: dict[str, frozenset[str]]) -> dict[tu
 def scan_noise(records: DataFrame, lexicon: dict[str, frozenset[str]], common: dict[tuple[str, str], float], repaired: bool = False) -> DataFrame:
     """Records whose text holds noise of a scan.
 
-    ``records``: ``record_kind``, ``record_id``, ``text``, ``title``; further columns are ignored. Returns
+    ``records``: ``record_kind``, ``record_id``, ``text``, ``title``; further columns are ignored. Texts of another kind
+    than ``doc`` are taken as cut out of a document, at any letter. Returns
     ``record_kind, record_id, furniture, broken, misread`` (counts) of every record with at least one of them, and
     with ``repaired`` the text in continuous paragraphs. Null and empty texts give no row. Repeated records give
     repeated rows. Texts of no known language are searched for furniture and broken words only.
@@ -298,10 +322,11 @@ def scan_noise(records: DataFrame, lexicon: dict[str, frozenset[str]], common: d
         for f in frames:
             rows = []
             for kind, key, text, title in zip(f["record_kind"], f["record_id"], f["text"], f["title"], strict=True):
+                cut = kind != "doc"
                 if repaired:
-                    new, found = reader.repair(text, title)
+                    new, found = reader.repair(text, title, cut)
                 else:
-                    new, found = None, reader.signs(text, title)
+                    new, found = None, reader.signs(text, title, cut)
                 if reader.noisy(found):
                     rows.append((kind, key, len(found["furniture"]), found["broken"], found["misread"] + found["accents"], new)[: 5 + repaired])
             yield pd.DataFrame(rows, columns=["record_kind", "record_id", "furniture", "broken", "misread", "repaired"][: 5 + repaired])
