@@ -116,7 +116,7 @@ def _one_layer(text: str, codecs: tuple[str, ...], layers: int, log: list[tuple[
 
 @lru_cache(16)
 def _reread(written: str, read: str) -> tuple[dict[int, str], re.Pattern]:
-    """Character that each wrongly read one was, and a word with at least one such character."""
+    """Character that each wrongly read one was, and a pattern for any of these."""
     table = {}
     for b in range(0x80, 0x100):
         try:
@@ -125,7 +125,7 @@ def _reread(written: str, read: str) -> tuple[dict[int, str], re.Pattern]:
             continue
         if was != seen and seen.lower() not in OWN and (was in LETTERS or was in "“”‘’–—½°"):
             table[seen] = was
-    return {ord(k): v for k, v in table.items()}, re.compile(r"\S*[" + "".join(map(re.escape, table)) + r"]\S*")
+    return {ord(k): v for k, v in table.items()}, re.compile("[" + "".join(map(re.escape, table)) + "]")
 
 
 _EDGE = re.compile(r"^\W+|[’']s\W*$|\W+$")
@@ -148,10 +148,14 @@ class Repairer:
 
     def _single(self, text: str, log: list) -> str:
         for written, read in SINGLE:
-            table, words = _reread(written, read)
+            table, suspect = _reread(written, read)
+            if not suspect.search(text):
+                continue
 
-            def word(m: re.Match, table: dict = table) -> str:
+            def word(m: re.Match, table: dict = table, suspect: re.Pattern = suspect) -> str:
                 old = m[0]
+                if not suspect.search(old):
+                    return old
                 if old in self.seen:
                     new = self.seen[old]
                 else:
@@ -166,7 +170,7 @@ class Repairer:
                 log.append((read, old, new))
                 return new
 
-            text = words.sub(word, text)
+            text = re.sub(r"\S+", word, text)
         return text
 
     def _guess(self, m: re.Match) -> str:

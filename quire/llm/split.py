@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 LIMIT, OVERLAP = 6000, 200
 CUT, WORD, LINE, SENTENCE, PARAGRAPH = range(5)
 #: Ends of sentences and everything stronger; a boundary lies behind the white space that follows.
-_STRONG = re.compile(r"(\s*\n[^\S\n]*(?:\r?\n\s*)+)|((?<=[.!?…])[\"”’»)\]]*\s+)")
+_STRONG = re.compile(r"(?<!\s)\s*\n[^\S\n]*(?:\r?\n\s*)+|(?<=[.!?…])[\"”’»)\]]*\s+")
 _WEAK = re.compile(r"(\s*\n\s*)|(\s+)")
 
 
@@ -51,7 +51,7 @@ def _atoms(text: str, room: int) -> tuple[list[int], list[int]]:
         if m.end() - at > room:
             words(at, m.end())
         ends.append(m.end())
-        kinds.append(PARAGRAPH if m[1] else SENTENCE)
+        kinds.append(PARAGRAPH if m[0].count("\n") > 1 else SENTENCE)
         at = m.end()
     if len(text) - at > room:
         words(at, len(text))

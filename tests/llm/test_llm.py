@@ -5,6 +5,7 @@ import re
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,13 +176,28 @@ def test_shared_spans_edges(spark):
         spans.shared_spans(df, 10)
 
 
-def test_long_text_in_tiles(spark, monkeypatch):
-    monkeypatch.setattr(spans, "TILE", 2000)
+def test_long_text_in_tiles(monkeypatch):
     rng = random.Random(5)
-    common = sentence(rng, 900)
-    texts = {1: sentence(rng, 300) + common, 2: common + sentence(rng, 200), 3: common[500:900]}
-    whole = rows(spans.shared_spans(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))
-    assert set(whole) == brute_spans(texts, 150)
+    text = sentence(rng, 2500) + "-" * 3000 + sentence(rng, 900)
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([text])], ["doc", "text"])
+
+    def windows():
+        out = {}
+        for b in spans._anchors(150)(iter([batch])):
+            for key, at in zip(b.column("key").to_pylist(), b.column("at").to_pylist(), strict=True):
+                where, lo, hi = at >> 24, (at >> 12) & 4095, at & 4095
+                out |= {where - spans.CONTEXT - j: (key, where) for j in range(lo, hi + 1)}
+        return out
+
+    a = np.arange(0, len(text) - 300, 7)
+    whole, names = windows(), spans._stretch_names(text, a, a + 150, 3)
+    assert sorted(whole) == list(range(len(text) - 149))
+    monkeypatch.setattr(spans, "TILE", 2000)
+    assert windows() == whole and (spans._stretch_names(text, a, a + 150, 3) == names).all()
+
+
+def test_no_white_space(spark):
+    assert len(split.piece_ends(" " * 200_000)) >= 34 and encoding.Repairer(frozenset()).repair("È" + "x" * 200_000)[1] == []
 
 
 # 6
