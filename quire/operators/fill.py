@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from quire.functions.alphabet import positions, span_of
 from quire.functions.nodes import node_string
+from quire.operators.hsp import passages
+from quire.session import Scratch
 
 #: Passages of one document that are decoded together.
 TOGETHER = 64
@@ -34,6 +36,13 @@ def fill_text(nodes: DataFrame, docs: DataFrame, alphabet: str = "eng", mode: st
     return one.select("doc_id", F.col("y.x.s").alias("s"), F.col("y.x.e").alias("e"), *(F.col(f"y.x.{c}").alias(c) for c in extra), F.when(i0.isNotNull(), F.substring("_text", i0 + 1, i1 - i0)).alias("text"), i0.alias("i0"), i1.alias("i1"))
 
 
+def alignment_texts(hsp: DataFrame, docs: DataFrame, alphabet: str = "eng", mode: str = "compat") -> DataFrame:
+    """Alignments with the raw text of both sides, ``q_text`` and ``h_text``; null where a side can't be decoded."""
+    texts = Scratch(hsp.sparkSession, "texts").cut(fill_text(passages(hsp).where("doc_id is not null and s is not null and e is not null").distinct(), docs, alphabet, mode))
+    side = lambda x: texts.select(F.col("doc_id").alias(f"{x}_id"), F.col("s").alias(f"{x}_start"), F.col("e").alias(f"{x}_end"), F.col("text").alias(f"{x}_text"))
+    return hsp.join(side("q"), ["q_id", "q_start", "q_end"], "left").join(side("h"), ["h_id", "h_start", "h_end"], "left").select(*hsp.columns, "q_text", "h_text")
+
+
 def with_metadata(hits: DataFrame, *sources: DataFrame) -> DataFrame:
     """``hits`` with metadata columns by ``doc_id``: later sources override what earlier ones have; missing is null."""
     names = list(dict.fromkeys(c for s in sources for c in s.columns if c != "doc_id"))

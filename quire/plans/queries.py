@@ -153,6 +153,10 @@ def fill_text_spans(spark: SparkSession, sf: str) -> DataFrame:
     return filled.withColumn("text_md5", F.md5("text")).select("doc_id", "s", "e", known("text_md5", ""), known("i0", -1), known("i1", -1))
 
 
+def alignment_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return fill.alignment_texts(table(spark, sf, "hsp"), _docs(spark, sf))
+
+
 def cluster_metadata_join(spark: SparkSession, sf: str) -> DataFrame:
     own = _hits(spark, sf).select("hit_id", "doc_id")
     return fill.with_metadata(own, _docs(spark, sf).select("doc_id", "title", "source", "lang"))
@@ -241,6 +245,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clusters_in_rounds": clusters_in_rounds,
     "unique_hits": unique_hits,
     "fill_text_spans": fill_text_spans,
+    "alignment_texts": alignment_texts,
     "cluster_metadata_join": cluster_metadata_join,
     "cluster_size_filter": cluster_size_filter,
     "filled_clusters": filled_clusters,

@@ -134,6 +134,12 @@ def test_fill(spark):
     assert rows(fill.first_text(docs, spark.createDataFrame([("d", "other"), ("x__y", "z")], ["doc_id", "text"]))) == [("d", "Hello, World!"), ("e", None), ("x_y", "z")]
 
 
+def test_alignment_texts(spark):
+    docs = spark.createDataFrame([("d", "Hello, World!"), ("e", "Well, hello!")], "doc_id string, text string")
+    found = spark.createDataFrame([("d", "e", 1, 10, 0, 9, 9), ("d", "gone", 1, 99, 1, 2, 9)], "q_id string, h_id string, q_start int, q_end int, h_start int, h_end int, length int")
+    assert rows(fill.alignment_texts(found, docs).select("h_id", "q_text", "h_text")) == [("e", "ello, Worl", "Well, hell"), ("gone", None, None)]
+
+
 def test_links_and_combining(spark):
     old = spark.createDataFrame([("o1", "d", 0, 100), ("o2", "d", 300, 400), ("o3", "z", 0, 9)], "cluster_id string, doc_id string, s int, e int")
     new = spark.createDataFrame([("n1", "d", 5, 100), ("n2", "d", 10, 100), ("n3", "q", 1, 2), ("n1", "w", 0, 50)], "cluster_id string, doc_id string, s int, e int")
