@@ -238,10 +238,12 @@ def near_copies(texts: DataFrame, width: int = 5, threshold: float = 0.8) -> Dat
     members, sets = _classes(texts, width, scratch)
     reps = members.where("id = rep").select("id")
     one = sets.join(reps, "id", "left_semi")
-    index = scratch.cut(one.mapInArrow(_variants(threshold), "key long, id long").distinct())
+    index = scratch.cut(one.mapInArrow(_variants(threshold), "key long, id long"))
     shared = index.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
     used = scratch.cut(index.join(shared, "key"))
+    scratch.drop(index)
     pairs = scratch.cut(used.select("key", F.col("id").alias("a")).join(used.select("key", F.col("id").alias("b")), "key").where("a > b").select("a", "b").distinct())
+    scratch.drop(used)
     links = _verified(pairs, sets, threshold, scratch)
     groups = components(links.select(F.format_string("%020d", "a").alias("src"), F.format_string("%020d", "b").alias("dst")))
     groups = groups.select(F.col("node").cast("long").alias("rep"), F.col("group_node").cast("long").alias("group"))
