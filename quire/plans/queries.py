@@ -89,7 +89,7 @@ def shared_kmer_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 def maximal_exact_runs(spark: SparkSession, sf: str) -> DataFrame:
     one = align.classes(_encoded(spark, sf)).where("doc_id = rep").select("doc_id", "enc")
-    return align.exact_runs(one, LEAST_RUN, KMER)
+    return align.exact_runs(one, LEAST_RUN)
 
 
 def gapped_alignment(spark: SparkSession, sf: str) -> DataFrame:
