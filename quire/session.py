@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Tables whose texts are worked on in Python.
+TEXTS = ("documents", "cluster_hits")
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -85,6 +87,16 @@ class Scratch:
                 p.getFileSystem(conf).delete(p, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores: a file of one row group is read by one task.
+
+    Larger inputs come in enough partitions and pass as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One table of a data folder."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One table of a data folder; the tables of texts are spread over the cores."""
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(df) if name in TEXTS else df
