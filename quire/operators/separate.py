@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.alphabet import encode
 from quire.operators.align import local_alignments
+from quire.session import Scratch
 
 #: Sizes of the clusters that are separated; the upper one bounds what one task holds.
 MIN_COUNT, MAX_COUNT = 100, 20_000
 
 
-def candidates(hits: DataFrame, min_count: int = MIN_COUNT, max_count: int = MAX_COUNT) -> DataFrame:
-    """Hits (with a cluster and a text) of the clusters with ``min_count`` to ``max_count`` of them."""
+def candidates(hits: DataFrame, min_count: int = MIN_COUNT, max_count: int | None = MAX_COUNT) -> DataFrame:
+    """Hits (with a cluster and a text) of the clusters with ``min_count`` to ``max_count`` of them; None: no upper bound."""
     own = hits.where("cluster_id is not null and text is not null")
-    sizes = own.groupBy("cluster_id").count().where(F.col("count").between(min_count, max_count)).select("cluster_id")
+    sizes = own.groupBy("cluster_id").count().where((F.col("count") >= min_count) & (F.lit(True) if max_count is None else F.col("count") <= max_count)).select("cluster_id")
     return own.join(sizes, "cluster_id", "left_semi")
 
 
@@ -52,7 +55,7 @@ def separate(hits: DataFrame, alphabet: str = "eng", share: float = 0.75, min_co
     """Separated clusters by alignment: ``cluster_id`` as ``{old}_{i}``, ``hit_id``, and the mean text ``length``.
 
     ``hits``: ``hit_id`` (unique long), ``cluster_id``, ``text``; only clusters of ``min_count`` to ``max_count`` hits are
-    taken, so a task holds at most ``max_count`` of them. Hits that a dropped single cluster held are missing.
+    taken (``separated_all`` has the others too), so a task holds at most ``max_count`` of them. Hits that a dropped single cluster held are missing.
     """
     own = candidates(hits, min_count, max_count).select("hit_id", "cluster_id", "text", encode(F.col("text"), alphabet).alias("enc"))
     found = local_alignments(own.select(F.col("hit_id").alias("doc_id"), "enc", "cluster_id"), e_value=e_value, within="cluster_id", both_ways=True)
@@ -72,15 +75,32 @@ def separate(hits: DataFrame, alphabet: str = "eng", share: float = 0.75, min_co
     return rows.groupBy("cluster_id").applyInPandas(split, "cluster_id string, hit_id long, length int")
 
 
+def separated_all(hits: DataFrame, alphabet: str = "eng", share: float = 0.75, min_count: int = MIN_COUNT, max_count: int = MAX_COUNT, e_value: float = 1e-10) -> DataFrame:
+    """``separate`` and, under their own ``cluster_id``, all hits of the clusters that are not of a size to be separated.
+
+    The latter keep the mean ``length`` of their cluster's texts, truncated, null without one.
+    """
+    whole = Scratch(hits.sparkSession, "separate").cut(hits.where("cluster_id is not null").select("hit_id", "cluster_id", "text"))
+    taken = candidates(whole, min_count, max_count).select("cluster_id").distinct()
+    rest = whole.join(taken, "cluster_id", "left_anti")
+    lengths = rest.groupBy("cluster_id").agg(F.floor(F.avg(F.length("text"))).cast("int").alias("length"))
+    kept = rest.join(lengths, "cluster_id").select("cluster_id", F.col("hit_id").cast("long").alias("hit_id"), "length")
+    return separate(whole, alphabet, share, min_count, max_count, e_value).unionAll(kept)
+
+
 def levenshtein_similar(hits: DataFrame, share: float = 0.75) -> DataFrame:
     """Pairs of hits of one cluster that are similar by edit distance: ``hit_a, hit_b, distance``.
 
     With ``a`` the hit of the smaller id: ``share`` of its length is at most the other's, and at least that share of it
-    remains unchanged. All pairs of a cluster are compared, so this is for clusters that have been bounded.
+    remains unchanged. The distance is at least the difference of the lengths, so a cluster's hits meet by blocks of
+    length, each ``1 / share`` as long as the one before: similar ones are in the same block or in neighbouring ones.
     """
-    a = hits.select("cluster_id", F.col("hit_id").alias("hit_a"), F.col("text").alias("ta"))
-    b = hits.select("cluster_id", F.col("hit_id").alias("hit_b"), F.col("text").alias("tb"))
+    block = F.when(F.length("text") > 0, F.floor(F.log(F.length("text").cast("double")) / -math.log(share))).otherwise(-1)
+    own = hits.select("cluster_id", "hit_id", "text", block.alias("at"))
+    a = own.select("cluster_id", F.col("hit_id").alias("hit_a"), F.col("text").alias("ta"), F.explode(F.sequence(F.col("at") - 1, F.col("at") + 1)).alias("at"))
+    b = own.select("cluster_id", F.col("hit_id").alias("hit_b"), F.col("text").alias("tb"), "at")
     n = F.length("ta")
-    near = a.join(b, "cluster_id").where((F.col("hit_a") < F.col("hit_b")) & (n * share <= F.length("tb")))
+    close = F.abs(n - F.length("tb")) <= F.floor(n * (1 - share))
+    near = a.join(b, ["cluster_id", "at"]).where((F.col("hit_a") < F.col("hit_b")) & (n * share <= F.length("tb")) & close)
     most = near.withColumn("most", F.floor(n * (1 - share)).cast("int"))  # a bound ends the comparison early
     return most.withColumn("distance", F.expr("levenshtein(ta, tb, most)")).where("distance >= 0").select("hit_a", "hit_b", "distance")

@@ -193,12 +193,12 @@ def combined_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def levenshtein_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    own = separate.candidates(_hits(spark, sf), 2).select("hit_id", "cluster_id", "text")
+    own = separate.candidates(_hits(spark, sf), 2, None).select("hit_id", "cluster_id", "text")
     return separate.levenshtein_similar(own).withColumn("distance", F.col("distance").cast("long"))
 
 
 def separation(spark: SparkSession, sf: str) -> DataFrame:
-    return separate.separate(_hits(spark, sf), min_count=5)
+    return separate.separated_all(_hits(spark, sf), min_count=5)
 
 
 def unique_hits(spark: SparkSession, sf: str) -> DataFrame:

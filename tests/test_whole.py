@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from quire.operators import align, clusters
+from quire.operators import clusters, separate
+from quire.plans import queries
 from quire.plans.pipeline import ReuseConfig, TextReuse
 
 
@@ -37,3 +38,27 @@ def test_copies_are_in_the_clusters_of_their_passages(spark):
     n = F.col("n").cast("int")
     same = m.alias("a").join(m.select("rep", F.col("doc_id").alias("o")), "rep").where("doc_id < o").select(F.col("doc_id").alias("q_id"), F.col("o").alias("h_id"), F.lit(1).alias("q_start"), n.alias("q_end"), F.lit(1).alias("h_start"), n.alias("h_end"))
     assert parts(clusters.clusters_of(links.unionAll(same)).collect()) == found
+
+
+def test_clusters_of_other_sizes_pass_separation(spark):
+    rng = random.Random(12)
+    text = letters(rng, 200)
+    hits = [(i, "mid", text) for i in range(4)] + [(10, "few", text), (11, "few", text[:100])] + [(20 + i, "many", text) for i in range(7)]
+    hits += [(40, "none", None), (41, "few", None), (42, None, text)]
+    df = spark.createDataFrame(hits, "hit_id long, cluster_id string, text string")
+    got = {(r.hit_id, r.cluster_id, r.length) for r in separate.separated_all(df, min_count=3, max_count=5).collect()}
+    assert got == {(i, "mid_0", 200) for i in range(4)} | {(i, "few", 150) for i in (10, 11, 41)} | {(20 + i, "many", 200) for i in range(7)} | {(40, "none", None)}
+
+
+def test_levenshtein_pairs_by_length(spark, monkeypatch):
+    rng = random.Random(13)
+    texts = [(rng.choice("ab") * rng.randrange(0, 40)) + rng.choice(["", "a", "bb", "ab"]) for _ in range(90)]
+    hits = [(i, "k", t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(hits, "hit_id long, cluster_id string, text string")
+    far = df.select("hit_id", "text").alias("a").join(df.select(F.col("hit_id").alias("o"), F.col("text").alias("u")), F.col("hit_id") < F.col("o"))
+    want = {(r[0], r[1], r[2]) for r in far.where("length(text) * 0.75 <= length(u)").withColumn("d", F.levenshtein("text", "u")).where("d <= floor(length(text) * 0.25)").select("hit_id", "o", "d").collect()}
+    assert {tuple(r) for r in separate.levenshtein_similar(df).collect()} == want and want
+    monkeypatch.setattr(queries, "_hits", lambda spark, sf: df)
+    big = spark.range(separate.MAX_COUNT + 1).select(F.col("id").alias("hit_id"), F.lit("big").alias("cluster_id"), F.lit("same").alias("text"))
+    assert separate.candidates(big, 2, None).count() == separate.MAX_COUNT + 1
+    assert {tuple(r) for r in queries.levenshtein_pairs(spark, "").collect()} == want
