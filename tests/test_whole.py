@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from quire.operators import clusters, separate
+from quire.operators import align, clusters, separate
 from quire.plans import queries
 from quire.plans.pipeline import ReuseConfig, TextReuse
 
@@ -62,3 +63,19 @@ def test_levenshtein_pairs_by_length(spark, monkeypatch):
     big = spark.range(separate.MAX_COUNT + 1).select(F.col("id").alias("hit_id"), F.lit("big").alias("cluster_id"), F.lit("same").alias("text"))
     assert separate.candidates(big, 2, None).count() == separate.MAX_COUNT + 1
     assert {tuple(r) for r in queries.levenshtein_pairs(spark, "").collect()} == want
+
+
+def test_alignment_crosses_gaps_without_a_seed_beyond(spark):
+    rng = random.Random(14)
+    core = "".join(rng.choice("ABCDEFGHIKLMNOPQRSTUVWY") for _ in range(300))
+    noisy = list(core)
+    for i in [*range(10, 130, 10), *range(175, 300, 10)]:
+        noisy[i] = "Z"
+    noisy = "".join(noisy)
+    noisy = noisy[:133] + "Z" + noisy[133:172] + noisy[173:]  # a letter more on the left of the clean run, one less on its right
+    for a, b in ((core, noisy), (noisy, core)):
+        df = spark.createDataFrame([("a", "HIKLMN" + a), ("b", b + "ACACAC")], "doc_id string, enc string")
+        (r,) = align.local_alignments(df).collect()
+        assert (r.q_start, r.h_start) == (7, 1) and min(r.q_end - 6, r.h_end) >= 294 and r.length >= 294
+    q, h = (np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in (core, noisy))
+    assert len(align.align_pair(q, h, [0, 1], 6)) == 1
