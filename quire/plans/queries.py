@@ -87,6 +87,11 @@ def shared_kmer_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return align.shared_kmers(_encoded(spark, sf), SHARED_KMER)
 
 
+def class_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's representative in the results of the queries on classes of equal codes."""
+    return align.classes(_encoded(spark, sf)).select("doc_id", "rep")
+
+
 def maximal_exact_runs(spark: SparkSession, sf: str) -> DataFrame:
     one = align.classes(_encoded(spark, sf)).where("doc_id = rep").select("doc_id", "enc")
     return align.exact_runs(one, LEAST_RUN)
@@ -231,6 +236,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gi_numbering": gi_numbering,
     "kmer_df": kmer_df,
     "shared_kmer_pairs": shared_kmer_pairs,
+    "class_members": class_members,
     "maximal_exact_runs": maximal_exact_runs,
     "gapped_alignment": gapped_alignment,
     "hsp_filters": hsp_filters,

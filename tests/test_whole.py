@@ -79,3 +79,9 @@ def test_alignment_crosses_gaps_without_a_seed_beyond(spark):
         assert (r.q_start, r.h_start) == (7, 1) and min(r.q_end - 6, r.h_end) >= 294 and r.length >= 294
     q, h = (np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in (core, noisy))
     assert len(align.align_pair(q, h, [0, 1], 6)) == 1
+
+
+def test_members_of_classes(spark, monkeypatch):
+    docs = spark.createDataFrame([("a", "Hello, world"), ("b", "hello world 1871!"), ("c", "Other"), ("n", None)], "doc_id string, text string")
+    monkeypatch.setattr(queries, "_docs", lambda spark, sf: docs)
+    assert sorted(tuple(r) for r in queries.QUERIES["class_members"](spark, "").collect()) == [("a", "a"), ("b", "a"), ("c", "c")]
