@@ -85,3 +85,12 @@ def test_members_of_classes(spark, monkeypatch):
     docs = spark.createDataFrame([("a", "Hello, world"), ("b", "hello world 1871!"), ("c", "Other"), ("n", None)], "doc_id string, text string")
     monkeypatch.setattr(queries, "_docs", lambda spark, sf: docs)
     assert sorted(tuple(r) for r in queries.QUERIES["class_members"](spark, "").collect()) == [("a", "a"), ("b", "a"), ("c", "c")]
+
+
+def test_pipeline_finds_pairs_with_short_common_runs(spark):
+    rng = random.Random(15)
+    core = "".join(rng.choice("ABCDEFGHIKLMNOPQRSTUVWY") for _ in range(200))
+    noisy = "".join("Z" if i % 20 == 19 else c for i, c in enumerate(core))  # runs of 19
+    df = spark.createDataFrame([("a", core), ("b", noisy)], "doc_id string, enc string")
+    (r,) = TextReuse(ReuseConfig(alphabet="eng")).alignments(df).collect()
+    assert (r.q_id, r.h_id) == ("a", "b") and r.length >= 199
