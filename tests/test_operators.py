@@ -54,9 +54,43 @@ def test_hsp_filters(spark):
     assert rows(hsp.passages(flat)) == [("d__20_30", 1, 5), ("e", 2, 6)]
 
 
+def takers(spans, **how):
+    return nodes.owners(*np.array(spans).T, **how).tolist()
+
+
+def merges(a, b):
+    return takers([a, b])[1] == 0
+
+
 def test_merge_vectors():
-    cases = [((0, 100), (5, 100), 1), ((0, 100), (0, 10), 1), ((0, 100), (9, 109), 1), ((0, 100), (10, 110), -1), ((0, 100), (20, 120), -1), ((0, 100), (5, 200), 0), ((3, 3), (3, 3), 0)]
-    assert [nodes.merge_test(a, b) for a, b, _ in cases] == [x for _, _, x in cases]
+    cases = [((0, 100), (5, 100), True), ((0, 100), (0, 10), True), ((0, 100), (9, 109), True), ((0, 100), (10, 110), False), ((0, 100), (20, 120), False), ((0, 100), (5, 200), False), ((3, 3), (3, 3), False)]
+    assert [merges(a, b) for a, b, _ in cases] == [x for _, _, x in cases]
+    # One that doesn't merge is passed over, one out of reach ends the search.
+    assert takers([(0, 100), (5, 200), (6, 100)]) == [0, 1, 0] and takers([(0, 100), (5, 10), (6, 100)]) == [0, 1, 2]
+    assert takers([(0, 100), (0, 10)], clip=True) == [0, 1]
+
+
+def one_by_one(spans, t=0.9):
+    """The rule of merging, passage by passage."""
+    group, left = {}, list(range(len(spans)))
+    while left:
+        (s, e), first = spans[left[0]], left[0]
+        group[first] = first
+        for k in left[1:]:
+            x, y = spans[k]
+            if x - min(e - s, y - x) * (1 - t) > s:
+                break
+            if (e - x) / max(e - s, y - x) > t:
+                group[k] = first
+        left = [k for k in left if k not in group]
+    return [group[k] for k in range(len(spans))]
+
+
+def test_owners_like_the_rule():
+    rng = random.Random(15)
+    for n in (1, 5, 60, 300):
+        own = sorted({(s, s + rng.randrange(1, 160)) for s in (rng.randrange(3 * n) for _ in range(n))})
+        assert takers(own) == one_by_one(own)
 
 
 def test_centroids(spark):
@@ -71,7 +105,8 @@ def test_centroids_like_one_pass_per_document(spark):
     found = {(r[0], r[1], r[2]): (r[3], r[4]) for r in rows(nodes.centroids(spark.createDataFrame(bag, "doc_id string, s int, e int")))}
     for doc in {b[0] for b in bag}:
         own = sorted((s, e) for d, s, e in bag if d == doc)
-        for group in nodes.merge_groups(own):
+        owner = one_by_one(own)
+        for group in ([k for k in range(len(own)) if owner[k] == g] for g in set(owner)):
             mean = tuple(int(sum(own[k][x] for k in group) / len(group)) for x in (0, 1))
             assert all(found[doc, *own[k]] == mean for k in group)
 
@@ -80,7 +115,7 @@ def test_mergeable_pairs(spark):
     rng = random.Random(6)
     own = sorted({(s, s + rng.randrange(1, 300)) for s in (rng.randrange(700) for _ in range(150))})
     found = rows(nodes.mergeable_pairs(spark.createDataFrame([("d", *x) for x in own], "doc_id string, s int, e int")))
-    assert found == sorted(("d", *a, *b) for i, a in enumerate(own) for b in own[i + 1 :] if nodes.merge_test(a, b) == 1)
+    assert found == sorted(("d", *a, *b) for i, a in enumerate(own) for b in own[i + 1 :] if merges(a, b))
 
 
 def brute_components(edges):
@@ -253,3 +288,67 @@ def test_levenshtein(spark):
     df = spark.createDataFrame([(i, "k", t) for i, t in texts.items()], "hit_id long, cluster_id string, text string")
     want = {(a, b, d) for a in texts for b in texts if a < b and len(texts[a]) * 0.75 <= len(texts[b]) and (d := levenshtein(texts[a], texts[b])) <= int(len(texts[a]) * 0.25)}
     assert set(rows(separate.levenshtein_similar(df))) == want
+
+
+def line(order, links):
+    """The rule of taking, one after another."""
+    taken = {}
+    for k, a in enumerate(order):
+        if a not in taken:
+            for b in order[k + 1 :]:
+                if (a, b) in links and b not in taken:
+                    taken[b] = a
+    return taken
+
+
+def test_first_come(spark):
+    from quire.session import Scratch
+
+    rng = random.Random(16)
+    links = {tuple(sorted(rng.sample(range(60), 2))) for _ in range(130)} | {(100 + i, 101 + i) for i in range(7)}
+    df = spark.createDataFrame([(a, a, b) for a, b in links], "a long, at long, b long")
+    assert {r.b: r.a for r in separate.first_come(df, Scratch(spark, "t")).collect()} == line(list(range(108)), links)
+    assert separate.first_come(df.limit(0), Scratch(spark, "t")).count() == 0
+
+
+def test_moves_of_single_hits(spark, monkeypatch):
+    rng = random.Random(17)
+    n = 24
+    texts = {i: "e" * (100 + i) for i in range(n)}
+    found = {}
+    for _ in range(30):
+        a, b = rng.sample(range(n), 2)
+        found[a, b] = found[b, a] = rng.choice([20, 50, 60, 99, 130])
+    rows = [(a, b, m) for (a, b), m in found.items()] + [(i, i, 100 + i) for i in range(n)]
+    table = spark.createDataFrame(rows, "q_id long, h_id long, length int")
+    monkeypatch.setattr(separate, "local_alignments", lambda *a, **k: table)
+    # One after another, as the docstring says.
+    near = {(a, b) for (a, b), m in found.items() if m > 0.75 * max(100 + a, 100 + b)}
+    taken = line(list(range(n)), near)
+    groups = {i: [i] + [b for b, a in taken.items() if a == i] for i in range(n) if i not in taken}
+    gone = set()
+    for i in sorted(groups):
+        if len(groups[i]) == 1:
+            own = [(-m, b) for (a, b), m in found.items() if a == i]
+            if own:
+                to = min(own)[1]
+                groups[taken.get(to, to)].append(i)
+            gone.add(i)
+    want = [sorted(v) for k, v in sorted(groups.items()) if k not in gone]
+    hits = spark.createDataFrame([(i, "k", t) for i, t in texts.items()], "hit_id long, cluster_id string, text string")
+    got = {}
+    for r in separate.separate(hits, min_count=2).collect():
+        got.setdefault(r.cluster_id, []).append(r.hit_id)
+    assert [sorted(got[f"k_{i}"]) for i in range(len(got))] == want and len(want) > 2
+
+
+def test_separation_by_edits(spark):
+    rng = random.Random(18)
+    base = ["".join(rng.choice("abcdefghiklmnoprstuvwy") for _ in range(60)) for _ in range(3)]
+    texts = {i: base[i % 3][: 60 - i] + "xx" * (i % 2) for i in range(9)} | {20: "eeeeeeee", 21: "12", 22: ""}
+    hits = spark.createDataFrame([(i, "k", t) for i, t in texts.items()], "hit_id long, cluster_id string, text string")
+    alone = rows(separate.separate_by_edits(hits, min_count=1).select("hit_id", "cluster_id"))
+    groups = {i: c for i, c in alone}
+    assert len(groups) == len(texts) and len({groups[i] for i in (0, 3, 6)}) == len({groups[i] for i in (1, 4, 7)}) == 1 and len(set(groups.values())) == 6
+    far = {r.hit_id: r.cluster_id for r in separate.separate_by_edits(hits, min_count=1, farthest=True).collect()}
+    assert len(set(far.values())) == 3
