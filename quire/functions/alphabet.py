@@ -48,6 +48,13 @@ def mask(text: Column, name: str = "eng") -> Column:
     return F.regexp_replace(F.lower(text), _class(alphabet(name)[0]), "X")
 
 
+def soft_masked(encoded: Column, name: str = "eng_space", letter: str = " ") -> Column:
+    """Encoded text with the code of ``letter`` in lower case: alignments may cross it, but shouldn't start there."""
+    letters, codes = alphabet(name)
+    code = codes[letters.index(letter)]
+    return F.translate(encoded, code, code.lower())
+
+
 def unencode(encoded: Column, name: str = "eng") -> Column:
     """Letters for codes, the first letter of the alphabet where several share a code: the loss stays."""
     letters, codes = alphabet(name)

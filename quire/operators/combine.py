@@ -2,15 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators.clusters import without_overlaps
 
+#: Which hits of new data count, by the type of the data, as a test of the node; an unknown type has none.
+HIT_TYPES: dict[str, Callable[[Column], Column]] = {"america": lambda node: F.lit(True), "fin": lambda node: ~node.contains("xml")}
 #: Width of the blocks of starts by which passages of one document are joined.
 BLOCK = 256
 
 
+def counted(kind: str, node: Column) -> Column:
+    """Whether a hit of data of that kind counts; register further kinds in ``HIT_TYPES``."""
+    return HIT_TYPES.get(kind, lambda node: F.lit(False))(node)
+
+
+def clusters_with(hits: DataFrame, test: Column) -> DataFrame:
+    """``cluster_id`` of the clusters that have at least one hit that passes the test."""
+    return hits.where(F.col("cluster_id").isNotNull() & test).select("cluster_id").distinct()
+
+
+def node_index(hits: DataFrame) -> DataFrame:
+    """Passages by document: ``doc_id, nodes, clusters`` (numbers of passages and of clusters that have one)."""
+    return hits.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("nodes"), F.countDistinct("cluster_id").alias("clusters"))
+
+
 def interval_links(new: DataFrame, old: DataFrame, share: float = 0.9) -> DataFrame:
     """``new_cluster, old_cluster`` with passages of one document that overlap by more than ``share`` of the longer one.
 

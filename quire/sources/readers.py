@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import io
 import json
+import re
 import tarfile
 from collections.abc import Iterator
 
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from quire.operators.blocks import union_sources
 
+#: The comment of a report that names the query behind its number.
+_QUERY = re.compile(r"#\sQuery:\s\S+\s(?P<name>.*?)\s*\Z", re.DOTALL)
 HSP = "q_id string, h_id string, q_start int, q_end int, h_start int, h_end int, length int, ppos double"
 
 
@@ -39,8 +42,8 @@ def read_sources(spark: SparkSession, spec: str) -> DataFrame:
 def parse_table(lines: Iterator[str], key: str | None = None) -> Iterator[tuple]:
     """Rows of a tabular alignment report; ``# Query: gi|1 docA`` lines name the query, other comments are skipped."""
     for line in lines:
-        if line.startswith("# Query:"):
-            key = line.split(" ", 3)[3].strip()
+        if named := _QUERY.match(line):
+            key = named["name"]
         elif line.strip() and not line.startswith("#"):
             cells = line.rstrip("\r\n").split("\t")
             yield (key, cells[0], *map(int, cells[1:-1]), float(cells[-1]))

@@ -94,3 +94,51 @@ def test_pipeline_finds_pairs_with_short_common_runs(spark):
     df = spark.createDataFrame([("a", core), ("b", noisy)], "doc_id string, enc string")
     (r,) = TextReuse(ReuseConfig(alphabet="eng")).alignments(df).collect()
     assert (r.q_id, r.h_id) == ("a", "b") and r.length >= 199
+
+
+def test_blocks_have_the_offsets_of_their_documents(spark):
+    rng = random.Random(19)
+    shared = letters(rng, 160)
+    texts = {"a": letters(rng, 230) + " 12, " + letters(rng, 200) + shared, "b": shared + letters(rng, 30), "c": letters(rng, 300)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    got = TextReuse(ReuseConfig(alphabet="eng", split_size=440, min_length=50)).run(docs)["hits"].collect()
+    places = {r.doc_id: (r.s, r.e, r.text) for r in got}
+    assert set(places) == {"a", "b"} and places["b"][2] and places["a"][2] in texts["a"] and places["a"][2][5:-5] in texts["b"]
+    codes = {d: len([c for c in t if c.isalpha()]) for d, t in texts.items()}
+    assert places["a"][1] == codes["a"] and places["a"][1] - places["a"][0] == places["b"][1] - places["b"][0] >= 150
+
+
+def test_new_texts_against_all(spark):
+    rng = random.Random(20)
+    core = letters(rng, 120).upper()
+    df = spark.createDataFrame([(d, letters(rng, 40).upper() + core + letters(rng, 30).upper()) for d in "abcd"], "doc_id string, enc string")
+    new = df.where("doc_id in ('b', 'c')")
+    every = align.exact_runs(df, 50).collect()
+    assert len(every) == 6 and sorted(align.exact_runs(df, 50, queries=new).collect()) == sorted(r for r in every if {r.q_id, r.h_id} & {"b", "c"})
+    found = align.local_alignments(df, queries=new).collect()
+    assert {(r.q_id, r.h_id) for r in found} == {("a", "b"), ("a", "c"), ("b", "c"), ("b", "d"), ("c", "d")}
+
+
+def test_scores():
+    table = align.score_table(align.Scoring())
+    at = lambda a, b: int(table[ord(a), ord(b)])
+    assert (at("W", "W"), at("I", "V"), at("V", "I"), at("D", "E"), at("X", "X"), at("B", "B"), at("Z", "E"), at("C", "E")) == (11, 3, 3, 2, -1, 4, 4, -4)
+    assert (table == table.T).all()
+    plain = align.score_table(align.Scoring(blosum=False))
+    assert plain[ord("W"), ord("W")] == 5 and plain[ord("I"), ord("V")] == -4
+
+
+def test_recall_against_words_of_six(spark):
+    """Planted passages with misread letters, one in twelve: pairs found by all words of six as seeds."""
+    rng = random.Random(21)
+    rows = []
+    for k in range(40):
+        core = letters(rng, 120)
+        for side in "ab":
+            text = "".join(rng.choice("abcdefghiklmnoprstuvwy") if rng.random() < 1 / 24 else c for c in core)
+            rows.append((f"{k:02d}{side}", (letters(rng, 60) + text + letters(rng, 60)).upper()))
+    df = spark.createDataFrame(rows, "doc_id string, enc string")
+    pairs = lambda found: {(r.q_id, r.h_id) for r in found.where("length >= 50").collect()}
+    c = ReuseConfig()
+    every = pairs(align.local_alignments(df, word=6, seed=6, reach=1))
+    assert len(every) >= 40 and len(pairs(align.local_alignments(df, c.word, c.seed, c.reach)) & every) >= 0.9 * len(every)
