@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.alphabet import encode
@@ -15,14 +15,19 @@ def nonempty(docs: DataFrame) -> DataFrame:
     return docs.where("text <> ''")
 
 
-def last_wins(docs: DataFrame, order: Column) -> DataFrame:
-    """One row per ``doc_id``, the last by ``order``; a document without id is dropped.
+def latest(rows: DataFrame, key: str, order: Column) -> DataFrame:
+    """One row per ``key``, the last by ``order`` (nulls first); a null key is dropped.
 
-    ``order`` should be unique per id for a defined result. No group is collected: the last is found by a window
-    over the rows of one id.
+    ``order`` should be unique per key for a defined result. A maximum, combined before the shuffle: no key's rows are
+    gathered or sorted.
     """
-    w = Window.partitionBy("doc_id").orderBy(order.desc_nulls_last())
-    return docs.where("doc_id is not null").withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    last = F.max_by(F.struct(*rows.columns), F.struct(order.isNotNull(), order))
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(last.alias("_last")).select("_last.*")
+
+
+def last_wins(docs: DataFrame, order: Column) -> DataFrame:
+    """One row per ``doc_id``, the last by ``order``; a document without id is dropped."""
+    return latest(docs, "doc_id", order)
 
 
 def with_metadata(docs: DataFrame, core: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:

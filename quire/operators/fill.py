@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.alphabet import positions, span_of
 from quire.functions.nodes import node_string
+from quire.operators.blocks import latest
 from quire.operators.hsp import passages
 from quire.session import Scratch
 
@@ -81,8 +82,7 @@ def filled_clusters(hits: DataFrame, min_count: int = 0) -> DataFrame:
 
 def unique_hits(hits: DataFrame) -> DataFrame:
     """Delivered hits, each ``hit_id`` once: the row written last."""
-    w = Window.partitionBy("hit_id").orderBy(F.col("written_at").desc_nulls_last())
-    return hits.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return latest(hits, "hit_id", F.col("written_at"))
 
 
 def cluster_sizes(hits: DataFrame, min_count: int = 0, max_count: int | None = None) -> DataFrame:

@@ -11,7 +11,9 @@ from quire.functions import alphabet, nodes
 from quire.operators import align, blocks, clusters, combine, fill, graph, hsp, intervals, separate
 from quire.operators import nodes as merging
 from quire.plans.pipeline import ReuseConfig, TextReuse
-from quire.session import table
+from quire.session import Scratch, table
+from quire.sources import readers, writers
+from quire.streaming import incremental
 
 BLOCK, KMER, SHARED_KMER, LEAST_RUN = 500, 20, 30, 50
 BOUNDS = {"min_length": 100, "max_length": 700, "min_score": 0.8, "ranges": "0,0.85,300;300,0.9,600"}
@@ -171,11 +173,20 @@ def cluster_size_filter(spark: SparkSession, sf: str) -> DataFrame:
     return fill.cluster_sizes(_hits(spark, sf), 3)
 
 
-def filled_clusters(spark: SparkSession, sf: str) -> DataFrame:
+def _nested(spark: SparkSession, sf: str) -> DataFrame:
     filled = fill.with_metadata(fill.fill_text(_unfilled(spark, sf), _docs(spark, sf)), _docs(spark, sf).select("doc_id", "title", "issue_date"))
     return fill.filled_clusters(filled)
 
 
+def filled_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested clusters, their hits and skips in an order of their own as one digest each."""
+    at = lambda h, k: h["original_indices"][k].cast("string")
+    hit = lambda h: F.concat_ws("|", h["node"], at(h, 0), at(h, 1), F.coalesce(h["title"], F.lit("")), F.coalesce(h["issue_date"], F.lit("")), h["text"])
+    digest = lambda x: F.md5(F.array_join(F.array_sort(x), "\n"))
+    size = lambda c: F.size(c).cast("long")
+    return _nested(spark, sf).select("cluster_id", "length", size("hits").alias("n_hits"), size("skips").alias("n_skips"), digest(F.transform("hits", hit)).alias("hits_md5"), digest(F.col("skips")).alias("skips_md5"))
+
+
 def interval_links(spark: SparkSession, sf: str) -> DataFrame:
     return combine.interval_links(_hit_nodes(spark, sf), _unfilled(spark, sf))
 
@@ -198,10 +209,18 @@ def combined_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def levenshtein_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    own = separate.candidates(_hits(spark, sf), 2, None).select("hit_id", "cluster_id", "text")
+    own = separate.candidates(_hits(spark, sf), 2, None).select("hit_id", "cluster_id", "text", alphabet.encode(F.col("text")).alias("enc"))
     return separate.levenshtein_similar(own).withColumn("distance", F.col("distance").cast("long"))
 
 
+def separation_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    return separate.candidates(_hits(spark, sf), 3, 20).select("cluster_id", "hit_id")
+
+
+def separation_by_edits(spark: SparkSession, sf: str) -> DataFrame:
+    return separate.separate_by_edits(_hits(spark, sf), min_count=5)
+
+
 def separation(spark: SparkSession, sf: str) -> DataFrame:
     return separate.separated_all(_hits(spark, sf), min_count=5)
 
@@ -217,6 +236,174 @@ def reuse_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select("cluster_id", "doc_id", "s", "e", "text", "i0", "i1", "title", "issue_date", "lang", "source")
 
 
+def _files(spark: SparkSession) -> str:
+    """A folder of its own for what a query writes and reads back."""
+    return Scratch(spark, "files").root
+
+
+def documents_read(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written as JSON lines and read back."""
+    writers.write_json(_docs(spark, sf).select("doc_id", "text", "title"), path := _files(spark))
+    return readers.read_documents(spark, path).select("doc_id", F.md5("text").alias("text_md5"), "title")
+
+
+def sources_read(spark: SparkSession, sf: str) -> DataFrame:
+    writers.write_json(_docs(spark, sf).select("doc_id", "text"), path := _files(spark))
+    return readers.read_sources(spark, f"{path};first;{path};second").select("source", "doc_id", F.md5("text").alias("text_md5"))
+
+
+def latest_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """The hit of each passage that was written last."""
+    hits = table(spark, sf, "cluster_hits").select(F.col("node").alias("doc_id"), "hit_id", "written_at")
+    return blocks.last_wins(hits, F.struct("written_at", "hit_id")).select(F.col("doc_id").alias("node"), "hit_id")
+
+
+def text_count(spark: SparkSession, sf: str) -> DataFrame:
+    return blocks.nonempty(_docs(spark, sf)).agg(F.count("*").alias("n_texts"))
+
+
+def ascii_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return _docs(spark, sf).select("doc_id", nodes.ascii_id(F.col("title")).alias("ascii_title"))
+
+
+def old_node_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes of an older form, made of language, source and node."""
+    name = F.concat_ws("_", F.coalesce("lang", F.lit("und")), F.lit("x"), "node")
+    return _hits(spark, sf).where("node is not null").select("hit_id", nodes.old_form(name).alias("node_id"))
+
+
+def custom_alphabet(spark: SparkSession, sf: str) -> DataFrame:
+    """An alphabet of vowels, as a user would add it."""
+    alphabet.register_alphabet("vowels", "aeiou", "AEIHY")
+    return _encoded(spark, sf, "vowels").select("doc_id", F.md5("enc").alias("enc_md5"))
+
+
+def soft_mask(spark: SparkSession, sf: str) -> DataFrame:
+    return _encoded(spark, sf, "eng_space").select("doc_id", F.md5(alphabet.soft_masked(F.col("enc"))).alias("enc_md5"))
+
+
+def block_coordinates(spark: SparkSession, sf: str) -> DataFrame:
+    """Alignments with the coordinates of blocks, as documents' coordinates again."""
+    start = lambda x: F.expr(f"{x}_start div {BLOCK} * {BLOCK}")
+    name = lambda x: F.concat(f"{x}_id", F.lit("__"), start(x).cast("string"), F.lit("_"), (start(x) + BLOCK).cast("string"))
+    own = table(spark, sf, "hsp").select(*(name(x).alias(f"{x}_id") for x in "qh"), *((F.col(f"{x}_{y}") - start(x)).cast("int").alias(f"{x}_{y}") for x in "qh" for y in ("start", "end")), "length", "ppos")
+    return hsp.flatten_blocks(own)
+
+
+def report_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Alignments written as tabular reports and read back."""
+    writers.write_reports(table(spark, sf, "hsp"), path := _files(spark))
+    return readers.read_alignments(spark, path)
+
+
+def fasta_lines(spark: SparkSession, sf: str) -> DataFrame:
+    own = blocks.numbered(blocks.encoded_blocks(blocks.split_blocks(_docs(spark, sf))).select("block_id", "enc"), "block_id")
+    writers.write_fasta(own, path := _files(spark))
+    return spark.read.text(path).select(F.md5("value").alias("line_md5"))
+
+
+def unfilled_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return writers.unfilled(_unfilled(spark, sf)).select("cluster_id", F.array_join("nodes", ",").alias("nodes"), "avg_len")
+
+
+def cluster_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Clusters written as files of the list form and read back."""
+    writers.write_unfilled(_unfilled(spark, sf), path := _files(spark), 100)
+    return readers.read_clusters(spark, path)
+
+
+def filled_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Clusters written as files of the filled form and read back, without the passages that were skipped."""
+    writers.write_filled(_nested(spark, sf), path := _files(spark), 100)
+    return readers.read_clusters(spark, path).where("node is not null")
+
+
+def merged_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Old clusters and, under a prefix, those that were new, in files of their own."""
+    fresh = F.col("cluster_id").rlike("[05]$")
+    own = _nested(spark, sf).withColumn("cluster_id", F.when(fresh, F.concat(F.lit("later_"), "cluster_id")).otherwise(F.col("cluster_id")))
+    writers.write_merged(own, path := _files(spark), "later", 100)
+    part = lambda x: readers.read_clusters(spark, f"{path}/{x}").select(F.lit(x).alias("part"), "cluster_id", "node")
+    return part("old").unionAll(part("later")).where("node is not null")
+
+
+def link_files(spark: SparkSession, sf: str) -> DataFrame:
+    writers.write_links(table(spark, sf, "links"), path := _files(spark))
+    return readers.read_links(spark, path)
+
+
+def not_done(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of the clusters when those of a short average length are done."""
+    own = table(spark, sf, "clusters_unfilled").select("cluster_id", "avg_len")
+    own.where("avg_len < 300").write.parquet(path := _files(spark))
+    return writers.not_done(own, "cluster_id", spark, path)
+
+
+def inspection(spark: SparkSession, sf: str) -> DataFrame:
+    """Hits of clusters of 2 to 50 hits, the longest first."""
+    own = _hits(spark, sf).where("cluster_id is not null").groupBy("cluster_id").agg(F.collect_list(F.struct(F.coalesce("text", F.lit("")).alias("text"))).alias("hits"))
+    shown = writers.inspect(own, 2, 50).select("cluster_id", F.posexplode("hits").alias("place", "hit"))
+    return shown.select("cluster_id", F.col("place").cast("long").alias("place"), F.length("hit.text").cast("long").alias("chars"))
+
+
+def counted_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """Clusters by the kind of new data that they have counted hits of."""
+    combine.HIT_TYPES["numbers"] = lambda node: node.rlike("^[0-9]")
+    own = _hits(spark, sf)
+    kinds = [combine.clusters_with(own, combine.counted(k, F.col("node"))).select(F.lit(k).alias("kind"), "cluster_id") for k in ("fin", "america", "numbers", "other")]
+    return kinds[0].unionAll(kinds[1]).unionAll(kinds[2]).unionAll(kinds[3])
+
+
+def search_exact_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact runs of the documents whose id is divisible by 20 against all, by their representatives."""
+    all_ = align.classes(_encoded(spark, sf))
+    asked = all_.where("cast(doc_id as long) % 20 = 0").select(F.col("rep").alias("doc_id"))
+    return align.exact_runs(all_.where("doc_id = rep").select("doc_id", "enc"), LEAST_RUN, queries=asked)
+
+
+def within_cluster_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact runs between the hits of one cluster."""
+    own = _hits(spark, sf).where("cluster_id is not null").select(F.col("hit_id").alias("doc_id"), "cluster_id", alphabet.encode(F.col("text")).alias("enc"))
+    return align.exact_runs(own, LEAST_RUN, within="cluster_id")
+
+
+def edge_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    """Alignments as edges between passages that are mapped to multiples of ten."""
+    found = table(spark, sf, "hsp")
+    ten = lambda c: F.expr(f"{c} div 10 * 10").cast("int")
+    merged = hsp.passages(found).distinct().select("doc_id", "s", "e", ten("s").alias("cs"), ten("e").alias("ce"))
+    name = lambda x: nodes.node_string(F.col(f"{x}.doc_id"), F.col(f"{x}.s"), F.col(f"{x}.e")).alias(x)
+    return merging.centroid_edges(found, merged).select(name("src"), name("dst"))
+
+
+def first_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts of two sources whose ids differ in form, the first source before the second."""
+    docs = blocks.nonempty(_docs(spark, sf))
+    name = lambda mark: F.concat(F.substring("doc_id", 1, 3), F.lit(mark), F.expr("substring(doc_id, 4)")).alias("doc_id")
+    first = docs.where("cast(doc_id as long) % 3 = 0").select(name("__"), F.lower("text").alias("text"))
+    return fill.first_text(first, docs.select(name("_"), "text")).select("doc_id", F.md5("text").alias("text_md5"))
+
+
+def whole_components(spark: SparkSession, sf: str) -> DataFrame:
+    """Components as they are, by the strategy that keeps all passages."""
+    edges = table(spark, sf, "edges").where("src.doc_id is not null and src.s is not null and src.e is not null and dst.doc_id is not null and dst.s is not null and dst.e is not null")
+    return clusters.cluster_edges(edges, "whole")
+
+
+def star_edges(spark: SparkSession, sf: str) -> DataFrame:
+    name = lambda x: nodes.node_string(F.col(f"{x}.doc_id"), F.col(f"{x}.s"), F.col(f"{x}.e")).alias(x)
+    return clusters.star_edges(_unfilled(spark, sf)).select(name("src"), name("dst"))
+
+
+def node_index(spark: SparkSession, sf: str) -> DataFrame:
+    return combine.node_index(_unfilled(spark, sf))
+
+
+def merged_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """New clusters merged into the old ones that they overlap."""
+    return incremental.merge_batch(_unfilled(spark, sf), _new_clusters(spark, sf), "later")
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     found = intervals.periods_and_gaps(intervals.hit_spans(table(spark, sf, "cluster_hits")))
     return found.select(F.col("entity").alias("doc_id"), F.col("kind").alias("span_kind"), F.col("s").cast("int").alias("s"), F.col("e").cast("int").alias("e"))
@@ -261,6 +448,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "combined_hits": combined_hits,
     "levenshtein_pairs": levenshtein_pairs,
     "separation": separation,
+    "separation_candidates": separation_candidates,
+    "separation_by_edits": separation_by_edits,
+    "documents_read": documents_read,
+    "sources_read": sources_read,
+    "latest_nodes": latest_nodes,
+    "text_count": text_count,
+    "ascii_ids": ascii_ids,
+    "old_node_ids": old_node_ids,
+    "custom_alphabet": custom_alphabet,
+    "soft_mask": soft_mask,
+    "block_coordinates": block_coordinates,
+    "report_files": report_files,
+    "fasta_lines": fasta_lines,
+    "unfilled_clusters": unfilled_clusters,
+    "cluster_files": cluster_files,
+    "filled_files": filled_files,
+    "merged_files": merged_files,
+    "link_files": link_files,
+    "not_done": not_done,
+    "inspection": inspection,
+    "counted_hits": counted_hits,
+    "search_exact_runs": search_exact_runs,
+    "within_cluster_runs": within_cluster_runs,
+    "edge_mapping": edge_mapping,
+    "first_texts": first_texts,
+    "whole_components": whole_components,
+    "star_edges": star_edges,
+    "node_index": node_index,
+    "merged_batch": merged_batch,
     "reuse_pipeline": reuse_pipeline,
     "p5_found": p5_found,
 }
