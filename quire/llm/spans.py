@@ -152,11 +152,11 @@ def _anchors(length: int):
                 t = whole.as_py()
                 for a in range(0, len(t) - length + 1, TILE):
                     part = t[a : a + TILE + length - 1]
-                    docs.append(doc), texts.append(part), bases.append(a)
-                    size += len(part)
-                    if size >= TILE:
+                    if docs and size + len(part) >= TILE + length:  # a tile's places have 20 bits
                         yield tile(docs, texts, bases)
                         docs, texts, bases, size = [], [], [], 0
+                    docs.append(doc), texts.append(part), bases.append(a)
+                    size += len(part)
         if docs:
             yield tile(docs, texts, bases)
 

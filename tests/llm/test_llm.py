@@ -196,6 +196,17 @@ def test_long_text_in_tiles(monkeypatch):
     assert windows() == whole and (spans._stretch_names(text, a, a + 150, 3) == names).all()
 
 
+@pytest.mark.parametrize("before", [spans.TILE - 1, spans.TILE, spans.TILE + 149, 2 * spans.TILE - 1])
+def test_texts_behind_a_full_tile(spark, before):
+    """Texts that share a batch with one that nearly fills a tile keep their spans."""
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared = letters(160)
+    texts = {1: letters(before), 2: letters(spans.TILE - 11) + shared, 3: letters(1000) + shared + letters(77), 4: letters(400)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    assert rows(spans.shared_spans(df)) == [(2, spans.TILE - 11, spans.TILE + 149), (3, 1000, 1160)]
+
+
 def test_no_white_space(spark):
     assert len(split.piece_ends(" " * 200_000)) >= 34 and encoding.Repairer(frozenset()).repair("È" + "x" * 200_000)[1] == []
 
