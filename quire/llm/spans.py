@@ -1,15 +1,16 @@
 """Long exact spans that texts of different documents have in common, by recompression.
 
 Round by round, equal runs of a symbol and then pairs of adjacent symbols are named by a hash of their parts, and
-the named block replaces its parts. Only symbols of a bounded length take part in a round, and whether two
-neighbours merge depends on nothing but those two, so equal substrings get equal symbols except within ``CONTEXT``
-characters of their ends. As names are hashes they agree in every task without an exchange. The last round joins
-the symbols between two local minima of the symbols' context names, at most ``reach`` characters apart, into a high-level symbol: every window of
-the wanted length then holds the start of one, at the same place in every text that holds the window.
-
-1. ``anchors``: the starts of the high-level symbols with the name of their context. Names that occur in two
-   documents are found by a minimum and a maximum per name, combined before the shuffle.
-2. The windows around shared anchors are tested in cells of ``CELL`` neighbours: what all windows of a cell have in
+the named block replaces its parts. Whether two neighbours merge depends on nothing but their names, and only symbols of
+a bounded length take part in a round, so equal substrings get equal symbols except within ``MARGIN`` characters of
+their ends. As names are hashes of what they stand for, they are the same in every task: a round needs no exchange, and
+the low rounds, whose names every text has, run within the tasks. The last round joins the symbols that follow a local
+minimum into one high-level symbol of up to ``span`` characters, named by the names of its parts: every window of the
+wanted length holds one, the same at the same place in every text that holds the window.
+
+1. ``anchors``: the high-level symbols. The exchange is left to their names: those that occur in two documents are
+   found by a minimum and a maximum per name, combined before the shuffle.
+2. The windows around shared symbols are verified in cells of ``CELL`` neighbours: what all windows of a cell have in
    common is a necessary part, what they cover together a sufficient one.
 3. Only where a cell has a shared necessary part and no shared sufficient part, the cells of that necessary part are
    tested window by window.
@@ -27,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.sketch import mix
 from quire.operators.intervals import periods_and_gaps
 from quire.session import Scratch
 
-#: Rounds: what is named, and up to which length a symbol takes part. The lengths sum to 11 characters of context;
-#: positions deep inside a long run need 9 more.
+#: Rounds: what is named, and up to which length a symbol takes part. At an end of a common stretch each round leaves one
+#: symbol uncertain, so the lengths sum to 11 characters of margin; positions deep inside a long run need 9 more.
 ROUNDS = (("run", 1), ("pair", 1), ("pair", 2), ("pair", 3), ("pair", 4))
-CONTEXT, DEEP, CELL = 24, 9, 16
+MARGIN, DEEP, CELL = 20, 9, 16
 #: Characters handled at once; longer texts are cut into stretches that overlap by a window.
 TILE = 1 << 19
 _POS = np.uint64((1 << 20) - 1)
@@ -41,15 +43,8 @@ _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Well-spread 64-bit names (the finaliser of splitmix64)."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
 class _Names:
-    """Names of all stretches of one tile in constant time each."""
+    """Names of all stretches of one sequence (of characters, or of symbols) in constant time each."""
 
     _powers: tuple[np.ndarray, np.ndarray] | None = None
 
@@ -60,46 +55,54 @@ class _Names:
             inverse = pow(_BASE, -1, 1 << 64)
             _Names._powers = tuple(np.cumprod(np.concatenate([np.ones(1, _U), np.full(size - 1, _U(b), _U)]), dtype=_U) for b in (_BASE, inverse))
         up, self.down = _Names._powers
-        self.symbols = _mix(codes.astype(_U) + _U(_BASE))
+        self.symbols = mix(codes.astype(_U) + _U(_BASE))
         self.sums = np.zeros(n + 1, _U)
         np.cumsum(self.symbols * up[:n], out=self.sums[1:])
 
     def of(self, a: np.ndarray, b: np.ndarray, tag: int = 0) -> np.ndarray:
-        return _mix((self.sums[b] - self.sums[a]) * self.down[a] + _U(tag))
+        return mix((self.sums[b] - self.sums[a]) * self.down[a] + _U(tag))
 
 
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def symbol_starts(symbols: np.ndarray) -> np.ndarray:
-    """Starts of the symbols after all rounds, and every position deep inside a longer run."""
-    start = np.arange(len(symbols))
-    name = symbols
+def symbols_of(characters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and names of the symbols after all rounds; ``characters`` are the names of the single ones.
+
+    A run longer than ``DEEP`` is cut into its first ``DEEP`` characters and single ones behind them, so that what is deep
+    inside it is named alike wherever it ends.
+    """
+    start = np.arange(len(characters))
+    name = characters
     for k, (kind, most) in enumerate(ROUNDS):
-        size = np.diff(start, append=len(symbols))
+        size = np.diff(start, append=len(characters))
         active = size <= most
         both = active[:-1] & active[1:]
         if kind == "run":
             joined = both & (name[:-1] == name[1:])
             heads = np.flatnonzero(np.concatenate([[True], ~joined]))
             times = np.diff(heads, append=len(name)).astype(_U)
-            name = np.where(times > 1, _mix(name[heads] + times * _U(0xD6E8FEB86659FD93)), name[heads])
+            name = np.where(times > 1, mix(name[heads] + times * _U(0xD6E8FEB86659FD93)), name[heads])
         else:
-            left = _mix(name ^ _U(_BASE * (k + 1) % (1 << 64))) >> _U(63) == 0
+            left = mix(name ^ _U(_BASE * (k + 1) % (1 << 64))) >> _U(63) == 0
             joined = both & left[:-1] & ~left[1:]
             second = np.concatenate([[False], joined])
             heads = np.flatnonzero(~second)
             head = name[heads]
             pairs = np.concatenate([joined, [False]])[heads]
             after = name[np.minimum(heads + 1, len(name) - 1)]
-            name = np.where(pairs, _mix(head * _U(3) + _mix(after + _U(k + 1))), head)
+            name = np.where(pairs, mix(head * _U(3) + mix(after + _U(k + 1))), head)
         start = start[heads]
-    size = np.diff(start, append=len(symbols))
-    if (size > DEEP).any():
-        more = [np.arange(start[i] + DEEP, start[i] + size[i]) for i in np.flatnonzero(size > DEEP)]
-        start = np.sort(np.concatenate([start, *more]))
-    return start
+    size = np.diff(start, append=len(characters))
+    if (long := np.flatnonzero(size > DEEP)).size:
+        name = name.copy()
+        name[long] = mix(characters[start[long]] + _U(1))
+        more = np.concatenate([np.arange(start[i] + DEEP, start[i] + size[i]) for i in long])
+        start, name = np.concatenate([start, more]), np.concatenate([name, mix(characters[more] + _U(2))])
+        order = np.argsort(start)
+        start, name = start[order], name[order]
+    return start, name
 
 
 def _sliding_min(a: np.ndarray, width: int) -> np.ndarray:
@@ -113,13 +116,13 @@ def _sliding_min(a: np.ndarray, width: int) -> np.ndarray:
 
 
 def _shape(length: int) -> tuple[int, int]:
-    """Characters behind an anchor that belong to its context, and places that an anchor of a window may have."""
-    behind = max(CONTEXT, (length - CONTEXT) * 4 // 9)
-    return behind, length - CONTEXT - behind + 1
+    """Characters that a high-level symbol covers at most, and places that the first one of a window may have."""
+    span = max(CELL, (length - 2 * MARGIN) * 4 // 10)
+    return span, length - 2 * MARGIN - span + 1
 
 
 def _anchors(length: int):
-    behind, reach = _shape(length)
+    span, reach = _shape(length)
 
     def tile(docs: list, texts: list[str], bases: list[int]) -> pa.RecordBatch:
         codes = [_codes(t) for t in texts]
@@ -127,22 +130,26 @@ def _anchors(length: int):
         off = np.concatenate([[0], np.cumsum(sizes)])
         names = _Names(np.concatenate(codes))
         n = off[-1]
-        p = symbol_starts(names.symbols)
-        p = p[(p >= CONTEXT) & (p + behind <= n)]
-        key = names.of(p - CONTEXT, p + behind)
+        start, name = symbols_of(names.symbols)
+        # The symbols from each start that end within its span, as one.
+        last = np.searchsorted(np.append(start[1:], n), start + span, "right")
+        key = _Names(name).of(np.arange(len(start)), last)
+        high = np.zeros(n, _U)
+        high[start] = key
+        p, key = (x[(start >= MARGIN) & (start + span + MARGIN <= n)] for x in (start, key))
         value = np.full(n, ~_U(0))
         value[p] = (key & ~_POS) | (_POS - p.astype(_U))
         low = _sliding_min(value, reach)  # of the places w .. w + reach - 1
         w = np.concatenate([np.arange(a, b - length + 1) for a, b in zip(off[:-1], off[1:], strict=True)])
-        at = (_POS - (low[w + CONTEXT] & _POS)).astype(np.int64)
+        at = (_POS - (low[w + MARGIN] & _POS)).astype(np.int64)
         cut = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (w[1:] != w[:-1] + 1)]))
         end = np.append(cut[1:], len(w)) - 1
         first, last, at = w[cut], w[end], at[cut]
         doc = np.searchsorted(off, first, side="right") - 1
         where = at - off[doc] + np.array(bases)[doc]
-        packed = (where << 24) | ((at - CONTEXT - last) << 12) | (at - CONTEXT - first)
+        packed = (where << 24) | ((at - MARGIN - last) << 12) | (at - MARGIN - first)
         return pa.RecordBatch.from_arrays(
-            [pa.array(names.of(at - CONTEXT, at + behind).view(np.int64)), pa.array([docs[d] for d in doc], pa.int64()), pa.array(packed)], ["key", "doc", "at"]
+            [pa.array(high[at].view(np.int64)), pa.array([docs[d] for d in doc], pa.int64()), pa.array(packed)], ["key", "doc", "at"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,10 +182,10 @@ def _cells(length: int):
                 many = hi // CELL - lo // CELL + 1
                 row = np.repeat(np.arange(len(packed)), many)
                 cell = (lo // CELL)[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-                top = place[row] - CONTEXT - cell * CELL  # the last window of the cell
+                top = place[row] - MARGIN - cell * CELL  # the last window of the cell
                 w0 = top - CELL + 1
-                wa = np.maximum(w0, place[row] - CONTEXT - hi[row])
-                wb = np.minimum(top, place[row] - CONTEXT - lo[row])
+                wa = np.maximum(w0, place[row] - MARGIN - hi[row])
+                wb = np.minimum(top, place[row] - MARGIN - lo[row])
                 out.append((doc, _stretch_names(text.as_py(), top, w0 + length, 1), *_sufficient(text.as_py(), w0, length), ((w0 + CELL) << 8) | ((wa - w0) << 4) | (wb - w0)))
             if out:
                 yield pa.RecordBatch.from_arrays(

@@ -186,7 +186,7 @@ def test_long_text_in_tiles(monkeypatch):
         for b in spans._anchors(150)(iter([batch])):
             for key, at in zip(b.column("key").to_pylist(), b.column("at").to_pylist(), strict=True):
                 where, lo, hi = at >> 24, (at >> 12) & 4095, at & 4095
-                out |= {where - spans.CONTEXT - j: (key, where) for j in range(lo, hi + 1)}
+                out |= {where - spans.MARGIN - j: (key, where) for j in range(lo, hi + 1)}
         return out
 
     a = np.arange(0, len(text) - 300, 7)
@@ -207,6 +207,19 @@ def test_texts_behind_a_full_tile(spark, before):
     assert rows(spans.shared_spans(df)) == [(2, spans.TILE - 11, spans.TILE + 149), (3, 1000, 1160)]
 
 
+def test_symbols_agree_inside_common_stretches():
+    rng = random.Random(7)
+    for alphabet in ("ab", "abcdefgh ", "aaaaaaaaaaaaaaab", "the harbour"):
+        common = "".join(rng.choices(alphabet, k=400)) + "-" * 60
+        found = []
+        for _ in range(6):
+            a, b = ("".join(rng.choices(alphabet, k=rng.randrange(90))) for _ in range(2))
+            start, name = spans.symbols_of(spans._Names(spans._codes(a + common + b)).symbols)
+            inside = (start >= len(a) + spans.MARGIN) & (start < len(a) + len(common) - spans.MARGIN)
+            found.append((list(start[inside] - len(a)), list(name[inside][:-1])))
+        assert all(x == found[0] for x in found) and len(found[0][0]) > 60
+
+
 def test_no_white_space(spark):
     assert len(split.piece_ends(" " * 200_000)) >= 34 and encoding.Repairer(frozenset()).repair("È" + "x" * 200_000)[1] == []
 
