@@ -144,6 +144,22 @@ WITH RECURSIVE e AS (
 sym AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
 reach(node, other) AS (SELECT a, a FROM sym UNION SELECT r.node, x.b FROM reach r JOIN sym x ON x.a = r.other)
 SELECT node, min(other) AS group_node FROM reach GROUP BY node
+""",
+    "p4_found": """
+WITH d AS (SELECT doc_id, text, unnest(range(0, length(text) - 149)) AS i FROM documents WHERE length(text) >= 150),
+w AS (SELECT doc_id, i, md5(substring(text, i + 1, 150)) AS name FROM d),
+shared AS (SELECT name FROM w GROUP BY name HAVING min(doc_id) < max(doc_id)),
+f AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM w WHERE name IN (SELECT name FROM shared)),
+g AS (SELECT doc_id, i, sum(CASE WHEN before >= i - 150 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS island FROM f)
+SELECT doc_id, CAST(min(i) AS INT) AS span_start, CAST(max(i) + 150 AS INT) AS span_end FROM g GROUP BY doc_id, island
+""",
+    "p6_found": r"""
+WITH t AS (SELECT hit_id, regexp_extract_all(lower(any_value(text)), '[\p{L}\p{N}]+') AS words FROM cluster_hits WHERE text IS NOT NULL GROUP BY hit_id),
+p AS (SELECT hit_id, words, unnest(range(1, len(words) - 1)) AS i FROM t WHERE len(words) >= 3),
+g AS (SELECT DISTINCT hit_id, md5(words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) AS gram FROM p),
+n AS (SELECT hit_id, count(*) AS n FROM g GROUP BY hit_id),
+c AS (SELECT a.hit_id AS hit_a, b.hit_id AS hit_b, count(*) AS c FROM g a JOIN g b ON a.gram = b.gram AND a.hit_id < b.hit_id GROUP BY a.hit_id, b.hit_id)
+SELECT hit_a, hit_b FROM c JOIN n x ON x.hit_id = hit_a JOIN n y ON y.hit_id = hit_b WHERE c >= CAST(0.6 AS DOUBLE) * (x.n + y.n - c)
 """,
     "p2_found": "SELECT doc_id FROM documents WHERE length(text) > 6000",
 }
