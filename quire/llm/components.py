@@ -3,7 +3,8 @@
 Every round each vertex hooks to the vertex of its closed neighbourhood that comes first in a fresh hash order;
 edges are relabelled by those representatives, deduplicated and stripped of loops. The number of vertices shrinks
 by a constant factor in expectation, whatever the shape of the graph, so the rounds grow with the logarithm of its
-size. At the end the round mappings are composed from the last to the first.
+size. Each edge is held once; only the hook sees it from both ends. At the end the round mappings are composed from
+the last to the first, and each is dropped with that.
 
 No vertex's edge list is gathered: the hook is a minimum (combined before the shuffle), and the relabelling joins
 have one row per vertex on one side, so a vertex with a third of all edges is split by the adaptive skew join.
@@ -25,28 +26,29 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     are ignored.
     """
     scratch = Scratch(edges.sparkSession, "components")
-    one = edges.select(F.col(src).cast("string").alias("u"), F.col(dst).cast("string").alias("v")).where("u <> v")
-    e = scratch.cut(one.unionAll(one.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    first, rounds = e, []
+    ordered = lambda a, b: [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
+    named = edges.select(F.col(src).cast("string").alias("a"), F.col(dst).cast("string").alias("b"))
+    e = scratch.cut(named.where("a <> b").select(*ordered("a", "b")).distinct())
+    none, rounds = e.limit(0), []
     while not e.isEmpty():
         fresh = F.lit(len(rounds) + 1)
         order = lambda c: F.struct(F.xxhash64(fresh, F.col(c)).alias("h"), F.col(c).alias("x"))  # noqa: B023, E731
-        hook = e.groupBy("u").agg(F.min(order("v")).alias("best"))
-        reps = scratch.cut(hook.select("u", F.least(F.col("best"), order("u"))["x"].alias("r")))
-        rounds.append(reps)
-        left = e.join(reps, "u").select(F.col("r").alias("a"), F.col("v").alias("u"))
-        both = left.join(reps, "u").select(F.col("a").alias("u"), F.col("r").alias("v"))
-        after = scratch.cut(both.where("u <> v").distinct())
-        if e is not first:
-            scratch.drop(e)
+        hook = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy("u").agg(F.min(order("v")).alias("best"))
+        rounds.append(scratch.cut(hook.select("u", F.least(F.col("best"), order("u"))["x"].alias("r"))))
+        left = e.join(rounds[-1], "u").select(F.col("r").alias("a"), F.col("v").alias("u"))
+        both = left.join(rounds[-1], "u").select("a", F.col("r").alias("b"))
+        after = scratch.cut(both.where("a <> b").select(*ordered("a", "b")).distinct())
+        scratch.drop(e)
         e = after
     if not rounds:
-        return first.select(F.col("u").alias("node"), F.col("v").alias("group_node"))
-    scratch.drop(first)
-    roots = rounds[-1]
-    for reps in reversed(rounds[:-1]):
+        return none.select(F.col("u").alias("node"), F.col("v").alias("group_node"))
+    # From the last round to the first; a mapping goes as soon as it is part of the composed one.
+    roots = rounds.pop()
+    while rounds:
+        reps = rounds.pop()
         later = roots.select(F.col("u").alias("r"), F.col("r").alias("root"))
-        roots = reps.join(later, "r", "left").select("u", F.coalesce("root", "r").alias("r"))
-    roots = scratch.cut(roots)
+        composed = scratch.cut(reps.join(later, "r", "left").select("u", F.coalesce("root", "r").alias("r")))
+        scratch.drop(reps, roots)
+        roots = composed
     least = roots.groupBy("r").agg(F.min("u").alias("group_node"))
     return roots.join(least, "r").select(F.col("u").alias("node"), "group_node")
