@@ -3,8 +3,8 @@
 A container has room for so many tokens, so many segments, and so many tokens that bear loss. The dot-product
 heuristic fills one container after another: of the items that still fit it takes the one whose vector has the
 largest product with what is left. Items are dealt to shards of a bounded size by a hash; each shard fills its
-containers by itself, and the items of containers that didn't get full are dealt anew to fewer shards, until what
-is left fits one shard or doesn't shrink any more. So each task holds a bounded number of items, and the waste of
+containers by itself, and the items of containers in which no limit was reached are dealt anew to fewer shards, until
+what is left fits one shard or shrinks by less than a fifth. So each task holds a bounded number of items, and the waste of
 the shards' last containers is packed again.
 """
 
@@ -45,11 +45,11 @@ def pack_vectors(items: np.ndarray, limits: np.ndarray) -> np.ndarray:
     return out
 
 
-def _shard(turn: int, capacity: int, limits: np.ndarray):
+def _shard(turn: int, limits: np.ndarray):
     def run(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values(["doc_id", "piece"], ignore_index=True)
         bins = pack_vectors(np.column_stack([f["n_tokens"], np.ones(len(f), int), f["bear"]]).astype(np.int64), limits)
-        fill = np.bincount(bins, f["n_tokens"]) / capacity
+        fill = np.max([np.bincount(bins, x) for x in (f["n_tokens"], np.ones(len(f)), f["bear"])] / limits[:, None], axis=0)  # of the limit next to its end
         f["container"] = (turn << 56) | (f["_shard"].to_numpy(np.int64) << 24) | bins
         f["fill"] = fill[bins]
         return f[["container", "doc_id", "piece", "token_start", "n_tokens", "bear", "fill"]]
@@ -57,13 +57,13 @@ def _shard(turn: int, capacity: int, limits: np.ndarray):
     return run
 
 
-def fill_containers(items: DataFrame, capacity: int = CAPACITY, segments: int = SEGMENTS, loss: int | None = None) -> DataFrame:
+def fill_containers(items: DataFrame, capacity: int = CAPACITY, segments: int = SEGMENTS, loss: int | None = None, with_loss: bool = False) -> DataFrame:
     """Every item, or the pieces of one that exceeds ``capacity``, with its container.
 
     ``items``: ``doc_id`` (long, unique for a defined result), ``n_tokens``; optionally ``loss_tokens`` (else all but
     the first token of each piece bear loss); further columns are ignored. ``loss`` limits the loss-bearing tokens of
     a container (default: ``capacity``). Items of null or no tokens need no place and give no row. Returns
-    ``container, doc_id, piece, token_start, n_tokens``; an item is cut only if it alone exceeds the capacity, and
+    ``container, doc_id, piece, token_start, n_tokens`` and ``with_loss`` the ``loss_tokens`` of each piece, cut to ``loss``; an item is cut only if it alone exceeds the capacity, and
     then into full pieces and a rest. An empty input gives no rows.
     """
     spark = items.sparkSession
@@ -84,7 +84,8 @@ def fill_containers(items: DataFrame, capacity: int = CAPACITY, segments: int =
         shards = -(-count // SHARD)
 
         dealt = todo.withColumn("_shard", F.pmod(F.xxhash64(F.lit(turn), "doc_id", "piece"), F.lit(shards)))
-        packed = scratch.cut(dealt.groupBy("_shard").applyInPandas(_shard(turn, capacity, limits), schema))
+        # By number, which is never coalesced: a task has one shard, or a few that meet by hash.
+        packed = scratch.cut(dealt.repartition(shards, "_shard").groupBy("_shard").applyInPandas(_shard(turn, limits), schema))
         rest = packed.where(f"fill < {FULL}").drop("container", "fill")
         more = rest.count() if shards > 1 else 0
         turn += 1
@@ -95,7 +96,7 @@ def fill_containers(items: DataFrame, capacity: int = CAPACITY, segments: int =
         todo, count = rest, more
     if not done:
         done = [todo.select(F.lit(0).cast("long").alias("container"), "*")]
-    out = [d.select("container", "doc_id", "piece", "token_start", "n_tokens") for d in done]
+    out = [d.select("container", "doc_id", "piece", "token_start", "n_tokens", *[F.col("bear").alias("loss_tokens")] * with_loss) for d in done]
     for d in out[1:]:
         out[0] = out[0].unionAll(d)
     return out[0]

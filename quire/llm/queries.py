@@ -96,6 +96,17 @@ def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
     return p8.fill_containers(_sized(spark, sf).select("doc_id", "n_tokens"))
 
 
+#: Limits of a container of training examples, below what its tokens would allow.
+EXAMPLES, LOSS = 4, 1536
+
+
+def p8_examples(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as training examples: their first line is the prompt, which bears no loss; all three limits bind."""
+    sized = Scratch(spark, "tokens").cut(token_counts(table(spark, sf, "documents"), heads=True))
+    items = sized.select("doc_id", "n_tokens", F.greatest(F.col("n_tokens") - F.col("head_tokens"), F.lit(0)).alias("loss_tokens"))
+    return p8.fill_containers(items, segments=EXAMPLES, loss=LOSS, with_loss=True)
+
+
 def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
     bins = p8_containers(spark, sf).groupBy("container").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("k"))
     return bins.agg(F.count("*").alias("containers"), F.ceil(F.sum("n") / p8.CAPACITY).alias("least_containers"), F.max("n").alias("most_tokens"), F.max("k").alias("most_segments"), (F.sum("n") / F.count("*") / p8.CAPACITY).alias("fill"))
@@ -130,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_found": p7_found,
     "p7_restored": p7_restored,
     "p8_containers": p8_containers,
+    "p8_examples": p8_examples,
     "p8_fill": p8_fill,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,

@@ -109,14 +109,15 @@ def split_oversized(docs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP,
         raise ValueError("overlap must be less than half the limit")
 
     def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["doc_id", "piece", "start", "end"] + ["text"] * with_text
         for f in frames:
+            rows = []
             for doc, text in zip(f["doc_id"], f["text"], strict=True):
-                ends = piece_ends(text, limit, overlap)
-                starts = [0, *(max(0, e - overlap) for e in ends[:-1])]
-                out = {"doc_id": doc, "piece": range(len(ends)), "start": starts, "end": ends}
-                if with_text:
-                    out["text"] = [text[a:b] for a, b in zip(starts, ends, strict=True)]
-                yield pd.DataFrame(out)
+                start = 0
+                for k, end in enumerate(piece_ends(text, limit, overlap)):
+                    rows.append((doc, k, start, end, text[start:end])[: len(columns)])
+                    start = max(0, end - overlap)
+            yield pd.DataFrame(rows, columns=columns)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     big = docs.select("doc_id", "text").where(F.length("text") > limit)

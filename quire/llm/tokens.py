@@ -38,8 +38,11 @@ def _length(encoding, text: str) -> int:
     return total + len(encoding.encode_ordinary(text[at:]))
 
 
-def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``doc_id, source, digest, n_tokens`` of every text that isn't null or empty; the digest has 128 bits."""
+def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, heads: bool = False) -> DataFrame:
+    """``doc_id, source, digest, n_tokens`` of every text that isn't null or empty; the digest has 128 bits.
+
+    With ``heads`` also ``head_tokens``, those of the first line of a text that has several, else 0.
+    """
     raw = Path(vocabulary).read_bytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,7 +51,10 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             texts = [t.as_py() for t in b.column("text")]
             sizes = pa.array([_length(encoding, t) for t in texts], pa.int64())
             digests = pa.array([blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), digests, sizes], ["doc_id", "source", "digest", "n_tokens"])
+            columns = [b.column("doc_id"), b.column("source"), digests, sizes]
+            if heads:
+                columns.append(pa.array([_length(encoding, t.lstrip()[: t.lstrip().find("\n") + 1]) for t in texts], pa.int64()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "digest", "n_tokens", "head_tokens"][: len(columns)])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text").where("text <> ''")
-    return rows.mapInArrow(run, "doc_id long, source string, digest binary, n_tokens long")
+    return rows.mapInArrow(run, "doc_id long, source string, digest binary, n_tokens long" + ", head_tokens long" * heads)

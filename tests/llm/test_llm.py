@@ -367,6 +367,21 @@ def test_containers_in_shards(spark, monkeypatch):
     assert len(full) <= 1.06 * sum(n for _, n in sizes) / 2048
 
 
+def test_all_limits_bind(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 60)
+    rng = random.Random(5)
+    items = [(i, n, rng.choice([0, n // 2, n])) for i, n in ((i, rng.choice([30, 300, 900, rng.randrange(1, 2500)])) for i in range(500))]
+    df = spark.createDataFrame([*items, (900, None, None), (901, 5, None)], "doc_id long, n_tokens long, loss_tokens long")
+    found = packing.fill_containers(df, segments=4, loss=1200, with_loss=True).collect()
+    full = {}
+    for r in found:
+        full.setdefault(r.container, []).append((r.n_tokens, 1, r.loss_tokens))
+    sums = [tuple(map(sum, zip(*v, strict=True))) for v in full.values()]
+    tops = [max(x[k] for x in sums) for k in range(3)]
+    assert tops[0] <= 2048 and tops[1] == 4 and 1150 < tops[2] <= 1200 and {r.doc_id for r in found} == {i for i, _, _ in items} | {901}
+    assert len(full) <= 1.15 * max(sum(x[k] for x in sums) / y for k, y in enumerate((2048, 4, 1200)))
+
+
 # 9
 
 
