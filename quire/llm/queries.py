@@ -124,6 +124,10 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return p10.lookalike_pairs(table(spark, sf, "documents"))
 
 
+def p10_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return p10.lookalike_groups(table(spark, sf, "documents"))
+
+
 def p10_canonical(spark: SparkSession, sf: str) -> DataFrame:
     return p10.with_canonical_text(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "canonical")
 
@@ -146,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
     "p10_found": p10_found,
+    "p10_groups": p10_groups,
     "p10_canonical": p10_canonical,
 }
 

@@ -420,13 +420,18 @@ def test_tokens(spark):
 # 10
 
 
-def test_skeletons():
-    assert lookalike.skeleton("Ｃａｆé　no​w") == unicodedata.normalize("NFD", "Café now")
-    assert lookalike.canonical("раgе") == "page" and lookalike.canonical("café") == "café"
-    same = [("Τhe", "The"), ("a\xa0b", "a b"), ("q̣̇", "q̣̇"), ("ɡо", "go"), ("ӓ", "ä")]
-    assert all(lookalike.skeleton(a) == lookalike.skeleton(b) for a, b in same)
-    other = [("cafe", "café"), ("A", "a"), ("1", "l"), ("O", "0"), ("ſ", "s"), ("rn", "m"), ("½", "1/2"), ("a b", "ab")]
-    assert all(lookalike.skeleton(a) != lookalike.skeleton(b) for a, b in other)
+def test_skeletons(spark):
+    skeleton = lookalike.Skeleton(lookalike.table_of(spark))
+    assert skeleton("Ｃａｆé　no​w") == unicodedata.normalize("NFD", "Café now")
+    assert skeleton.canonical("раgе") == "page" and skeleton.canonical("café") == "café"
+    same = [("Τhe", "The"), ("a\xa0b", "a b"), ("q̣̇", "q̣̇"), ("ɡо", "go"), ("ӓ", "ä"), ("ꭺᎪ", "ꭺA"), ("ꓐ", "B"), ("ⅼⅠ", "lI"), ("ᗅ", "A"), ("𐊠", "A"), ("ﬁ", "fi"), ("Ⅳ", "IV"), ("ІӀΙ", "III"), ("𝐚𝟎", "a0"), ("⁦x⁩", "x")]
+    same += [(a, b) for a, b in zip("АВЕЅІЈКМНОРСТУХҮԌԛԜԝаеѕіјорсухһԁɡӏΑΒΕΖΗΙΚΜΝΟΡΤΥΧοναϲϳ", "ABESIJKMHOPCTYXYGqWwaesijopcyxhdglABEZHIKMNOPTYXovacj", strict=True)]
+    assert [(a, b) for a, b in same if skeleton(a) != skeleton(b)] == []
+    other = [("cafe", "café"), ("A", "a"), ("1", "l"), ("O", "0"), ("ſ", "s"), ("rn", "m"), ("½", "1/2"), ("a b", "ab"), ("æ", "ae"), ("ø", "o"), ("’", "'"), ("“", "''"), ("…", "..."), ("б", "6"), ("З", "3"), ("ß", "ss"), ("²", "2"), ("ł", "l"), ("σ", "ο")]
+    assert [(a, b) for a, b in other if skeleton(a) == skeleton(b)] == []
+    # Letters of one alphabet stay distinct.
+    for letters in ("абвгдежзийклмнопрстуфхцчшщъыьэюяѣіѳѵ", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ", "abcdefghijklmnopqrstuvwxyzäöåéßæœøđħŋþ"):
+        assert len({skeleton(c) for c in letters}) == len(letters)
 
 
 def test_lookalike_pairs(spark):
@@ -434,4 +439,5 @@ def test_lookalike_pairs(spark):
     df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, skel string")
     assert rows(lookalike.lookalike_pairs(df)) == [(0, 1), (0, 3), (1, 2), (1, 3), (2, 3)]
     assert lookalike.lookalike_pairs(df.limit(0)).count() == 0
+    assert rows(lookalike.lookalike_groups(df)) == [(i, 0, 3) for i in range(4)]
     assert [r.canonical for r in lookalike.with_canonical_text(df).orderBy("doc_id").collect()][3:7] == ["page one", "pagé one", None, ""]
