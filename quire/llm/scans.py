@@ -2,8 +2,10 @@
 
 Words are looked up in a vocabulary trie that is intersected with a weighted Levenshtein automaton: a known
 confusion of a scanner costs 1, any other substitution, insertion or deletion 2, and all words within the bound are
-found. Candidates are ranked by cost, then by how often the same text and the language have them. Page furniture is
-taken out, words broken at line and page ends are joined, and hard-wrapped lines are reflowed into paragraphs.
+found. A word is misread if known confusions explain it, or if it differs in any one letter from just one known word.
+Candidates are ranked by cost, then by how often the same text and the language have them. Page furniture, by its form
+or because it recurs from page to page, is taken out, words broken at line and page ends are joined, and hard-wrapped lines
+are reflowed into paragraphs.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ MONTHS = "january february march april may june july august september october no
 #: A word that isn't in the lexicon is known if this share of its language's documents, and so many, have it.
 SHARE, LEAST_DOCS = 0.015, 5
 BOUND = 2
+#: So many pages make a line that recurs a header, and numbers that count on the numbers of pages.
+PAGES = 3
 
 _TOKEN = re.compile(r"[^\s“”\".,;:—()’'\-¬–\xad£½°\[\]|/?=«»…]+")
 _BREAK = re.compile(rf"(?<=[\w!])([{re.escape(HYPHENS)}]) ?\r?\n\s*(?=[^\W_])")
@@ -38,6 +42,7 @@ _NUMBER_LINE = re.compile(r"(?m)^[ \t]*(?:\d{1,3}|\[Page \d{1,3}\]|p\. \d{1,3}|
 _HEADER_LINE = re.compile(
     r"(?m)^[ \t]*(?:\d{1,3} [^a-z\n]{4,60} — [^a-z\n]{3,9} \d{1,2}, \d{4}|[^\n|]{4,50} \| [ivxlc]*|(?=[^\W\d_])[^a-z\n]{6,50}[^\W\d_]\. \d{1,3}|(?:\S ){3,}\S {2,4}(?:\S ){2,}\S)[ \t]*\r?$"
 )
+_COUNT = re.compile(r"(?:[\W_]|\b(?:page|pag|p|seite|s|sid|sidan|sivu|стр|с)\b\.?)*(?P<n>\d{1,6})(?:\s*(?:of|/|von|av|sur|из)\s*\d{1,6})?[\W_]*", re.IGNORECASE)
 _DATED_LINE = re.compile(r"(?m)^[ \t]*([^\W\d_]\S+ \S+), (\S{3,9}) \d{4}\.[ \t]*\r?$")
 
 
@@ -57,8 +62,12 @@ class Trie:
         out: dict[str, int] = {}
         n = len(token)
         todo = [(self.root, 0, 0)]
+        least: dict[tuple[int, int], int] = {}  # of each state, a node and a position
         while todo:
             node, i, cost = todo.pop()
+            if least.get((id(node), i), bound + 1) <= cost:
+                continue
+            least[id(node), i] = cost
             if i == n:
                 if "" in node and cost < out.get(node[""], bound + 1):
                     out[node[""]] = cost
@@ -104,9 +113,36 @@ def _alike(a: str, b: str) -> bool:
     return bool(b) and len(a) == len(b) and sum(x != y for x, y in zip(a, b, strict=True)) <= len(b) // 4
 
 
+def _repeated(text: str) -> list[tuple[int, int]]:
+    """Spans of the lines that recur from page to page, and of the numbers that count the pages.
+
+    A header stands at the edge of a paragraph each time and is the same but for its digits, on ``PAGES`` pages at least. Page
+    numbers, whatever stands around them, count on from one to the next, so many at least.
+    """
+    lines = [(m.start(), m.end(), m[0].strip()) for m in re.finditer(r"(?m)^.*$", text)]
+    numbers = [(k, int(m["n"])) for k, (_, _, x) in enumerate(lines) if x and (m := _COUNT.fullmatch(x))]
+    out: set[int] = set()
+    chain: list[tuple[int, int]] = []
+    for k, n in numbers:
+        after = [i for i, (_, x) in enumerate(chain) if 0 < n - x <= 2]
+        chain = [*chain[: after[-1] + 1], (k, n)] if after else [*chain, (k, n)] if not chain else chain if len(chain) >= PAGES else [(k, n)]
+        if len(chain) >= PAGES:
+            out |= {i for i, _ in chain}
+    places: dict[str, list[int]] = {}
+    for k, (_, _, x) in enumerate(lines):
+        if len(x) > 3 and not x.endswith((".", ",", ";", "!", "?")):
+            places.setdefault(re.sub(r"[\W\d_]+", " ", x).strip().lower(), []).append(k)
+    edge = lambda k: not 0 < k < len(lines) - 1 or not lines[k - 1][2] or not lines[k + 1][2] or k - 1 in out or k + 1 in out
+    for name, at in places.items():
+        if name and len(at) >= PAGES and all(b - a > 2 for a, b in zip(at, at[1:], strict=False)) and all(map(edge, at)):
+            out |= set(at)
+    return [lines[k][:2] for k in sorted(out)]
+
+
 def furniture(text: str, title: str | None) -> list[tuple[int, int]]:
     """Spans of the lines that are page numbers or running headers; ``title`` is the record's own, if known."""
-    out = [m.span() for m in _NUMBER_LINE.finditer(text)] + [m.span() for m in _HEADER_LINE.finditer(text)]
+    out = _repeated(text) if text.count("\n") > 2 * PAGES else []
+    out += [m.span() for m in _NUMBER_LINE.finditer(text)] + [m.span() for m in _HEADER_LINE.finditer(text)]
     for m in _DATED_LINE.finditer(text):
         if m[2].lower() in MONTHS or (title and _alike(m[1], title)):
             out.append(m.span())
@@ -131,6 +167,8 @@ class Reader:
         self.tries = {k: Trie(v) for k, v in self.words.items()}
         self.cache: dict[tuple[str, str], tuple[str | None, bool]] = {}
         self.near: dict[tuple[str, str], str | None] = {}
+        self.off: dict[tuple[str, str], str | None] = {}
+        self.letters = {k: set("".join(v)) for k, v in lexicon.items()}
         self.parts: dict[tuple[str, str, bool], bool] = {}
 
     def language(self, words: set[str]) -> str | None:
@@ -164,6 +202,17 @@ class Reader:
             self.near[key] = next(iter(found)) if len(found) == 1 else None
         return self.near[key]
 
+    def one_letter_off(self, lang: str, token: str) -> str | None:
+        """The known word from which ``token`` differs in one letter, and not by an accent, if the automaton for any edits finds just that one."""
+        key = (lang, token)
+        if key not in self.off:
+            if len(self.off) > 300_000:
+                self.off.clear()
+            found = [w for w, cost in self.tries[lang].search(token, {}, BOUND, any_edit=True).items() if cost == BOUND and len(w) == len(token)]
+            sure = len(found) == 1 and set(token) <= self.letters[lang] and _bare(found[0]) != _bare(token)
+            self.off[key] = found[0] if sure else None
+        return self.off[key]
+
     def part_of_word(self, lang: str, token: str, first: bool) -> bool:
         """Whether a token at the edge of a cut text may be the end (``first``) or the beginning of a known word."""
         key = (lang, token, first)
@@ -191,6 +240,10 @@ class Reader:
             odd = {t for t in odd if len(t) > 2 and not t.isdigit() and (t.isalpha() or _digits_inside(t)) and t not in MONTHS}
             if odd:
                 guess = {t: self.misread(lang, t) for t in odd}
+                # Names and words of other languages differ from known ones too: any other letter counts only in a word of four
+                # or more that isn't written with a capital.
+                small = {t for t in set(_TOKEN.findall(body)) if len(t) > 3 and t.isalpha() and t.islower()}
+                guess |= {t: (w, True) for t, (x, _) in guess.items() if x is None and t in small and (w := self.one_letter_off(lang, t))}
                 lost = {t for t, (w, _) in guess.items() if w is None}
                 for k, t in enumerate(tokens):
                     if t in guess and t not in lost:
@@ -253,6 +306,10 @@ class Reader:
         return min(found, key=lambda w: (found[w], -here[w], -self.share.get((lang, w), 0.0), w)) if found else None
 
 
+def _bare(word: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFD", word) if not unicodedata.combining(c))
+
+
 def _digits_inside(token: str) -> bool:
     """A word with signs or digits in place of letters; numbers with a unit and ordinals aren't."""
     return sum(c.isalpha() for c in token) * 2 >= len(token) and all(c.isalpha() or c in CONFUSIONS for c in token)

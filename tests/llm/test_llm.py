@@ -116,6 +116,21 @@ def test_scan_repair():
     assert reader.noisy(reader.signs("The night of the\nSome Gazettc\nriver under the bridge", "Some Gazette"))
 
 
+def test_any_letter_and_any_furniture():
+    reader = scans.Reader({"en": frozenset(WORDS) | {"house", "very", "garden", "exile"}}, {})
+    body = "the harbour of the river under the bridge without a market"
+    for wrong in ("hcuse", "vexy", "gaxden"):
+        found = reader.signs(f"{body} {wrong} of the night", None)
+        assert reader.noisy(found) and wrong in found["wrong"]
+        assert not reader.noisy(reader.signs(f"{body} {wrong.title()} of the night", None))
+    pages = [f"Chapter Three: The River\n\nThe {w} of the market under\nthe bridge of the {w}\n\n{n}" for w, n in zip(WORDS, ("1201", "Page 14 of 90", "-15-", "16 |"), strict=False)]
+    text = "\n\n".join(pages)
+    gone = [text[a:b] for a, b in scans.furniture(text, None)]
+    assert gone.count("Chapter Three: The River") == 4 and set(gone) >= {"Page 14 of 90", "-15-", "16 |"}
+    verse = "\n\n".join(f"The harbour of the {w}\nand the river\nSo sang the captain." for w in WORDS[:5])
+    assert scans.furniture(verse, None) == []
+
+
 def test_scan_noise(spark):
     recs = [("doc", 1, "the river under tbe bridge of the market", None, 1), ("doc", 2, "the river under the bridge of the market", "T", 1), ("hit", 1, "the mar-\nket of the river bridge", None, 1), ("hit", 2, None, None, 1), ("hit", 3, "", "T", 1), ("hit", 4, "[Page 3]", None, 1)]
     df = spark.createDataFrame(recs, "record_kind string, record_id long, text string, title string, misread int")
