@@ -19,12 +19,14 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.sketch import mix
 from quire.llm.components import components
 from quire.session import Scratch
 
@@ -32,12 +34,6 @@ _U = np.uint64
 _WORD = re.compile(r"[^\W_]+")  # letters and digits
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
 class _Words:
     """Name and length of each word; kept while a task runs, up to a bound."""
 
@@ -74,7 +70,7 @@ def _shingle_sets(width: int):
             n = len(names) - width + 1
             gram, letters = np.zeros(n, _U), np.zeros(n, np.int64)
             for k in range(width):
-                gram = _mix(gram * _U(0x9E3779B97F4A7C15) + names[k : k + n])
+                gram = mix(gram * _U(0x9E3779B97F4A7C15) + names[k : k + n])
                 letters += size[k : k + n].astype(np.int64)
             inside = rec[:n] == rec[width - 1 :]
             rec, gram, letters = rec[:n][inside], gram[inside], letters[inside]
@@ -88,7 +84,7 @@ def _shingle_sets(width: int):
             if not len(start):
                 continue
             with np.errstate(over="ignore"):
-                cls = _mix(np.add.reduceat(_mix(gram + _U(1)), start)).view(np.int64)
+                cls = mix(np.add.reduceat(mix(gram + _U(1)), start)).view(np.int64)
             offsets = np.append(start, len(rec)).astype(np.int32)
             grams = pa.ListArray.from_arrays(pa.array(offsets), pa.array((gram >> _U(32)).astype(np.uint32).view(np.int32)))
             yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(rec[start])), pa.array(cls), grams], ["id", "cls", "grams"])
@@ -113,6 +109,8 @@ def _classes(texts: DataFrame, width: int, scratch: Scratch) -> tuple[DataFrame,
     return members, sets.select("id", "grams")
 
 
+#: Parts of the segments that are indexed one after another, so that the keys of one part exist at once.
+PARTS = 4
 #: Passes over the candidate pairs: each moves that share of the sets, so fewer files exist at once.
 PASSES = 2
 
@@ -143,9 +141,9 @@ def similar_classes(texts: DataFrame, width: int = 3, threshold: float = 0.6) ->
     n = F.size("grams")
     short = sets.select("id", n.alias("n"), F.slice("grams", 1, n - _least(threshold, n) + 1).alias("first")).join(reps, "id", "left_semi")
     table = scratch.cut(short.select("id", "n", F.posexplode("first").alias("at", "gram")))
-    rows = table.repartition("gram")  # one exchange for both sides
-    big = rows.select("gram", F.col("id").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"))
-    small = rows.select("gram", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
+    # Both sides have the same columns, so they read one exchange, and a hot shingle's partition can be split.
+    big = table.select("gram", F.col("id").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"))
+    small = table.select("gram", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
     need = _least(threshold / (1 + threshold), F.col("na") + F.col("nb"))
     fits = ((F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") > F.col("b")))) & (F.col("nb") >= _least(threshold, F.col("na")))
     early = F.col("ib") <= F.col("nb") - _least(2 * threshold / (1 + threshold), F.col("nb"))
@@ -175,13 +173,15 @@ def similar_pairs(texts: DataFrame, width: int = 3, threshold: float = 0.6) -> D
     return across.unionAll(within).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
-def _variants(threshold: float):
-    """Variants of the segments of each set, for its own size class and for those of larger partners.
+def _variants(threshold: float, part: int, parts: int, deletions: bool):
+    """Keys of the segments of each set, for its own size class and for that of larger partners.
 
     Sizes fall into classes that grow by ``1 / threshold``; the larger set of a pair fixes the class ``c``. At most
     ``h = floor((1 - t) / (1 + t) * 2 * top(c))`` members differ, so among ``h // 2 + 1`` segments one differs by at
-    most one. The empty variant selects nothing and isn't indexed. Two sets could meet in it alone only if both have
-    a segment of at most one member: such sets are also indexed by their prefixes (see ``similar_classes``).
+    most one: it is equal in both, or equal to the other's without one member. So the segments as they are meet those and, with
+    ``deletions``, the ones with a member left out. The empty variant selects nothing and isn't indexed. Two sets could meet
+    in it alone only if both have a segment of at most one member: such sets are also indexed by their prefixes
+    (see ``similar_classes``). Only the segments of this ``part`` of ``parts`` are indexed.
     """
     step = math.log(1 / threshold)
 
@@ -201,24 +201,26 @@ def _variants(threshold: float):
                 c = own + ahead
                 top = np.floor(np.exp(c * step) + 1e-6)
                 segments = (np.floor((1 - threshold) / (1 + threshold) * 2 * top + 1e-9) // 2 + 1).astype(np.int64)
-                spread = _mix(flat + _U(0xA24BAED4963EE407))
+                spread = mix(flat + _U(0xA24BAED4963EE407))
                 seg = (spread >> _U(33)).astype(np.int64) % segments[rec]
                 first = np.concatenate([[0], np.cumsum(segments)])
                 place = first[rec] + seg
-                value = _mix(flat * _U(0x9FB21C651E98DF25) + _U(7))
+                value = mix(flat * _U(0x9FB21C651E98DF25) + _U(7))
                 inside = np.bincount(place, minlength=first[-1])
                 with np.errstate(over="ignore"):
                     sums = np.zeros(first[-1], _U)
                     np.add.at(sums, place, value)
                     who = np.repeat(np.arange(len(counts)), segments)
-                    tag = _mix((np.arange(first[-1]) - first[who]).astype(_U) * _U(1 << 20) + c[who].astype(_U))
-                    whole, left = inside > 0, inside[place] > 1
-                    keys += [_mix(sums + tag)[whole], _mix(sums[place] - value + tag[place])[left]]
+                    number = np.arange(first[-1]) - first[who]
+                    tag = mix(number.astype(_U) * _U(1 << 20) + c[who].astype(_U))
+                    mine = number % parts == part
+                    whole, left = (inside > 0) & mine, (inside[place] > 1) & mine[place] & deletions
+                    keys += [mix(sums + tag)[whole], mix(sums[place] - value + tag[place])[left]]
                 owners += [ids[who[whole]], ids[rec[left]]]
                 weak |= np.bincount(who[inside < 2], minlength=len(counts)) > 0
             at = np.arange(len(flat)) - lists.offsets.to_numpy()[:-1][rec]
-            early = weak[rec] & (at <= counts[rec] - np.ceil(threshold * counts[rec] - 1e-9))
-            keys.append(_mix(flat[early] + _U(0xC2B2AE3D27D4EB4F)))
+            early = (part == 0) & weak[rec] & (at <= counts[rec] - np.ceil(threshold * counts[rec] - 1e-9))
+            keys.append(mix(flat[early] + _U(0xC2B2AE3D27D4EB4F)))
             owners.append(ids[rec[early]])
             key, owner = np.concatenate(keys).view(np.int64), np.concatenate(owners)
             for k in range(0, len(key), 100_000):
@@ -236,15 +238,15 @@ def near_copies(texts: DataFrame, width: int = 5, threshold: float = 0.8) -> Dat
     """
     scratch = Scratch(texts.sparkSession, "variants")
     members, sets = _classes(texts, width, scratch)
-    reps = members.where("id = rep").select("id")
-    one = sets.join(reps, "id", "left_semi")
-    index = scratch.cut(one.mapInArrow(_variants(threshold), "key long, id long"))
-    shared = index.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
-    used = scratch.cut(index.join(shared, "key"))
-    scratch.drop(index)
-    pairs = scratch.cut(used.select("key", F.col("id").alias("a")).join(used.select("key", F.col("id").alias("b")), "key").where("a > b").select("a", "b").distinct())
-    scratch.drop(used)
-    links = _verified(pairs, sets, threshold, scratch)
+    one = scratch.cut(sets.join(members.where("id = rep").select("id"), "id", "left_semi"))
+    found = []
+    for part in range(PARTS):
+        keys = lambda deletions, name: one.mapInArrow(_variants(threshold, part, PARTS, deletions), "key long, id long").withColumnRenamed("id", name)  # noqa: B023, E731
+        met = keys(False, "x").join(keys(True, "y"), "key").where("x <> y")
+        found.append(scratch.cut(met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()))
+    pairs = scratch.cut(reduce(lambda x, y: x.unionAll(y), found).distinct())
+    scratch.drop(*found)
+    links = _verified(pairs, one, threshold, scratch)
     groups = components(links.select(F.format_string("%020d", "a").alias("src"), F.format_string("%020d", "b").alias("dst")))
     groups = groups.select(F.col("node").cast("long").alias("rep"), F.col("group_node").cast("long").alias("group"))
     degree = links.select("a").unionAll(links.select("b")).groupBy(F.col("a").alias("rep")).agg(F.count("*").alias("links"))
