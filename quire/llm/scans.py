@@ -37,7 +37,7 @@ PAGES = 3
 
 _TOKEN = re.compile(r"[^\s“”\".,;:—()’'\-¬–\xad£½°\[\]|/?=«»…]+")
 _BREAK = re.compile(rf"(?<=[\w!])([{re.escape(HYPHENS)}]) ?\r?\n\s*(?=[^\W_])")
-_HEAD, _TAIL = re.compile(r"[\w!]+\Z"), re.compile(r"[\w!]+")
+_TAIL = re.compile(r"[\w!]+")
 _NUMBER_LINE = re.compile(r"(?m)^[ \t]*(?:\d{1,3}|\[Page \d{1,3}\]|p\. \d{1,3}|— \d{1,3} —)[ \t]*\r?$")
 _HEADER_LINE = re.compile(
     r"(?m)^[ \t]*(?:\d{1,3} [^a-z\n]{4,60} — [^a-z\n]{3,9} \d{1,2}, \d{4}|[^\n|]{4,50} \| [ivxlc]*|(?=[^\W\d_])[^a-z\n]{6,50}[^\W\d_]\. \d{1,3}|(?:\S ){3,}\S {2,4}(?:\S ){2,}\S)[ \t]*\r?$"
@@ -99,8 +99,11 @@ def _mend(body: str, joins) -> tuple[str, int]:
     """``body`` with the broken words joined for which ``joins(sign, word)`` holds, and their number."""
     out, at, count = [], 0, 0
     for m in _BREAK.finditer(body):
-        head, tail = _HEAD.search(body, max(at, m.start() - 60), m.start()), _TAIL.match(body, m.end())
-        if head and tail and any(map(str.isalpha, head[0])) and any(map(str.isalpha, tail[0])) and joins(m[1], head[0] + tail[0]):
+        first = m.start()
+        while first > at and (body[first - 1].isalnum() or body[first - 1] in "_!"):
+            first -= 1
+        head, tail = body[first : m.start()], _TAIL.match(body, m.end())
+        if tail and any(map(str.isalpha, head)) and any(map(str.isalpha, tail[0])) and joins(m[1], head + tail[0]):
             out.append(body[at : m.start()])
             at = m.end()
             count += 1

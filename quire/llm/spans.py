@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.sketch import mix
+from quire.functions.sketch import mix, powers
 from quire.operators.intervals import periods_and_gaps
 from quire.session import Scratch
 
@@ -46,15 +46,9 @@ _U = np.uint64
 class _Names:
     """Names of all stretches of one sequence (of characters, or of symbols) in constant time each."""
 
-    _powers: tuple[np.ndarray, np.ndarray] | None = None
-
     def __init__(self, codes: np.ndarray):
         n = len(codes)
-        if _Names._powers is None or len(_Names._powers[0]) < n:
-            size = max(n, TILE + 65536)
-            inverse = pow(_BASE, -1, 1 << 64)
-            _Names._powers = tuple(np.cumprod(np.concatenate([np.ones(1, _U), np.full(size - 1, _U(b), _U)]), dtype=_U) for b in (_BASE, inverse))
-        up, self.down = _Names._powers
+        up, self.down = powers(n)
         self.symbols = mix(codes.astype(_U) + _U(_BASE))
         self.sums = np.zeros(n + 1, _U)
         np.cumsum(self.symbols * up[:n], out=self.sums[1:])
