@@ -140,15 +140,17 @@ def similar_classes(texts: DataFrame, width: int = 3, threshold: float = 0.6) ->
     reps = members.where("id = rep").select("id")
     n = F.size("grams")
     short = sets.select("id", n.alias("n"), F.slice("grams", 1, n - _least(threshold, n) + 1).alias("first")).join(reps, "id", "left_semi")
-    table = scratch.cut(short.select("id", "n", F.posexplode("first").alias("at", "gram")))
+    table = scratch.cut(short.select("id", "n", F.posexplode("first").alias("at", "gram")).select("gram", "id", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("at")).alias("w")))
+    size, place = (lambda w: F.shiftright(w, 32).cast("int")), (lambda w: F.col(w).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
     # Both sides have the same columns, so they read one exchange, and a hot shingle's partition can be split.
-    big = table.select("gram", F.col("id").alias("a"), F.col("n").alias("na"), F.col("at").alias("ia"))
-    small = table.select("gram", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ib"))
-    need = _least(threshold / (1 + threshold), F.col("na") + F.col("nb"))
-    fits = ((F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") > F.col("b")))) & (F.col("nb") >= _least(threshold, F.col("na")))
-    early = F.col("ib") <= F.col("nb") - _least(2 * threshold / (1 + threshold), F.col("nb"))
+    big = table.select("gram", F.col("id").alias("a"), F.col("w").alias("wa"))
+    small = table.select("gram", F.col("id").alias("b"), F.col("w").alias("wb"))
+    na, nb, ia, ib = size("wa"), size("wb"), place("wa"), place("wb")
+    need = _least(threshold / (1 + threshold), na + nb)
+    fits = ((na > nb) | ((na == nb) & (F.col("a") > F.col("b")))) & (nb >= _least(threshold, na))
+    early = ib <= nb - _least(2 * threshold / (1 + threshold), nb)
     # One condition on both sides: split, it would be pushed below the exchange and make two of it.
-    match = big.join(small, "gram").where(F.when(fits, early & (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= need)))
+    match = big.join(small, "gram").where(F.when(fits, early & (F.least(na - ia, nb - ib) >= need)))
     pairs = scratch.cut(match.select("a", "b").distinct())
     scratch.drop(table)
     return members, _verified(pairs, sets, threshold, scratch)
