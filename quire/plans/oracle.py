@@ -86,6 +86,20 @@ SELECT q_id, h_id, q_start, q_start + length - 1 AS q_end, q_start + d AS h_star
 """
 
 
+#: ``cen``: the passages of the alignments with their means, by the rule of merging one taker after another.
+_CENTROIDS = """
+al AS (SELECT * FROM hsp WHERE q_id <> h_id AND length BETWEEN 0 AND 100000 AND ppos >= 0),
+ps AS (SELECT doc_id, s, e, count(*) AS n FROM (SELECT q_id AS doc_id, q_start AS s, q_end AS e FROM al UNION ALL SELECT h_id, h_start, h_end FROM al)
+  WHERE doc_id IS NOT NULL AND s IS NOT NULL AND e IS NOT NULL GROUP BY doc_id, s, e),
+st AS (SELECT doc_id, 0 AS i, list({'s': s, 'e': e, 'n': n, 'z': e - s} ORDER BY s, e) AS x, list(0 ORDER BY s, e) AS own FROM ps GROUP BY doc_id
+  UNION ALL SELECT doc_id, i + 1, x, CASE WHEN own[i + 1] > 0 THEN own ELSE list_transform(range(1, len(x) + 1), lambda k:
+    CASE WHEN k = i + 1 THEN i + 1
+      WHEN own[k] = 0 AND k > i + 1 AND k < coalesce(list_filter(range(i + 2, len(x) + 1), lambda j: own[j] = 0 AND x[j].s - least(x[i + 1].z, x[j].z) * (CAST(1 AS DOUBLE) - CAST(0.9 AS DOUBLE)) > x[i + 1].s)[1], len(x) + 1)
+        AND greatest(x[i + 1].z, x[k].z) > 0 AND CAST(x[i + 1].e - x[k].s AS DOUBLE) / greatest(x[i + 1].z, x[k].z) > CAST(0.9 AS DOUBLE) THEN i + 1
+      ELSE own[k] END) END FROM st WHERE i < len(x)),
+ow AS (SELECT doc_id, unnest(x) AS p, unnest(own) AS o FROM st WHERE i = len(x)),
+cen AS (SELECT doc_id, p.s AS s, p.e AS e, CAST(trunc(CAST(sum(p.s * p.n) OVER w AS DOUBLE) / sum(p.n) OVER w) AS INT) AS cs, CAST(trunc(CAST(sum(p.e * p.n) OVER w AS DOUBLE) / sum(p.n) OVER w) AS INT) AS ce
+  FROM ow WINDOW w AS (PARTITION BY doc_id, o))"""
 _LINKS = f"""
 lk AS (SELECT DISTINCT n.cluster_id AS new_cluster, o.cluster_id AS old_cluster FROM m n JOIN u o ON n.doc_id = o.doc_id
 WHERE n.e > n.s AND o.e > o.s AND least(n.e, o.e) - greatest(n.s, o.s) > CAST(0.9 AS DOUBLE) * greatest(n.e - n.s, o.e - o.s))"""
@@ -191,6 +205,20 @@ SELECT 'cluster_' || i AS cluster_id, doc_id, s, e FROM c JOIN i USING (componen
     "star_edges": f"""
 WITH {_UNFILLED}, f AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY CAST(doc_id AS BIGINT), s, e) AS rn FROM u)
 SELECT a.doc_id || '___' || a.s || '_' || a.e AS src, b.doc_id || '___' || b.s || '_' || b.e AS dst FROM f a JOIN u b ON a.rn = 1 AND a.cluster_id = b.cluster_id AND NOT (a.doc_id = b.doc_id AND a.s = b.s AND a.e = b.e)
+""",
+    "node_centroids": f"WITH RECURSIVE {_CENTROIDS} SELECT doc_id, s, e, cs, ce FROM cen",
+    "clusters_from_hsp": f"""
+WITH RECURSIVE {_CENTROIDS},
+ed AS (SELECT DISTINCT a.doc_id AS da, a.cs AS sa, a.ce AS ea, b.doc_id AS db, b.cs AS sb, b.ce AS eb FROM al JOIN cen a ON q_id = a.doc_id AND q_start = a.s AND q_end = a.e JOIN cen b ON h_id = b.doc_id AND h_start = b.s AND h_end = b.e),
+n AS (SELECT da || '___' || sa || '_' || ea AS a, db || '___' || sb || '_' || eb AS b FROM ed),
+sym AS (SELECT a, b FROM n UNION SELECT b, a FROM n),
+reach(node, other) AS (SELECT a, a FROM sym UNION SELECT r.node, x.b FROM reach r JOIN sym x ON x.a = r.other),
+c AS (SELECT node, min(other) AS component FROM reach GROUP BY node),
+i AS (SELECT component, row_number() OVER (ORDER BY component) - 1 AS i FROM (SELECT DISTINCT component FROM c)),
+w AS (SELECT da AS doc_id, sa AS s, ea AS e FROM ed UNION SELECT db, sb, eb FROM ed),
+mem AS (SELECT 'cluster_' || i AS cluster_id, doc_id, s, e FROM c JOIN i USING (component) JOIN w ON c.node = w.doc_id || '___' || w.s || '_' || w.e),
+{_longest('mem')}
+SELECT cluster_id, doc_id, s, e FROM kept
 """,
     "node_index": f"WITH {_UNFILLED} SELECT doc_id, count(*) AS nodes, count(DISTINCT cluster_id) AS clusters FROM u GROUP BY doc_id",
     "separation_candidates": f"WITH {_HITS}, n AS (SELECT *, count(*) OVER (PARTITION BY cluster_id) AS n FROM h WHERE cluster_id IS NOT NULL AND text IS NOT NULL) SELECT cluster_id, hit_id FROM n WHERE n BETWEEN 3 AND 20",
