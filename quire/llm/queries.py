@@ -154,6 +154,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p10_canonical": p10_canonical,
 }
 
+_SPANS = """
+o AS (SELECT doc_id, text, unnest(range(0, length(text) - 149, 300)) AS base FROM documents WHERE length(text) >= 150),
+x AS (SELECT doc_id, base, substring(text, base + 1, 449) AS part FROM o),
+y AS (SELECT doc_id, base, part, unnest(range(0, length(part) - 149)) AS i FROM x),
+w AS (SELECT doc_id, base + i AS i, md5(substring(part, i + 1, 150)) AS name FROM y),
+shared AS (SELECT name FROM w GROUP BY name HAVING min(doc_id) < max(doc_id)),
+f AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM w WHERE name IN (SELECT name FROM shared)),
+g AS (SELECT doc_id, i, sum(CASE WHEN before >= i - 150 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS island FROM f),
+spans AS (SELECT doc_id, CAST(min(i) AS INT) AS span_start, CAST(max(i) + 150 AS INT) AS span_end FROM g GROUP BY doc_id, island)"""
+
+
+def _similar(among: str, width: int, least: float) -> str:
+    """``alike``: pairs ``a, b`` of similar hits, of all (``g``) or of the least of each set of shingles (``r``); ``m``: that least one."""
+    gram = " || ' ' || ".join(f"words[i + {k}]" for k in range(width))
+    return rf"""
+tx AS (SELECT hit_id AS id, regexp_extract_all(lower(any_value(text)), '[\p{{L}}\p{{N}}]+') AS words FROM cluster_hits WHERE hit_id IS NOT NULL AND text IS NOT NULL GROUP BY hit_id),
+p AS (SELECT id, words, unnest(range(1, len(words) - {width - 2})) AS i FROM tx WHERE len(words) >= {width}),
+g AS (SELECT DISTINCT id, md5({gram}) AS gram FROM p),
+cl AS (SELECT id, md5(string_agg(gram, ',' ORDER BY gram)) AS cls FROM g GROUP BY id),
+m AS (SELECT id, min(id) OVER (PARTITION BY cls) AS rep FROM cl),
+r AS (SELECT g.* FROM g JOIN m ON g.id = m.id AND m.id = m.rep),
+n AS (SELECT id, count(*) AS n FROM {among} GROUP BY id),
+c AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM {among} x JOIN {among} y ON x.gram = y.gram AND x.id < y.id GROUP BY x.id, y.id),
+alike AS (SELECT a, b FROM c JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE c >= CAST({least} AS DOUBLE) * (x.n + y.n - c))"""
+
+
 SQL: dict[str, str] = {
     "p1_found": """
 WITH RECURSIVE e AS (
@@ -162,21 +188,20 @@ sym AS (SELECT a, b FROM e WHERE a <> b UNION SELECT b, a FROM e WHERE a <> b),
 reach(node, other) AS (SELECT a, a FROM sym UNION SELECT r.node, x.b FROM reach r JOIN sym x ON x.a = r.other)
 SELECT node, min(other) AS group_node FROM reach GROUP BY node
 """,
-    "p4_found": """
-WITH d AS (SELECT doc_id, text, unnest(range(0, length(text) - 149)) AS i FROM documents WHERE length(text) >= 150),
-w AS (SELECT doc_id, i, md5(substring(text, i + 1, 150)) AS name FROM d),
-shared AS (SELECT name FROM w GROUP BY name HAVING min(doc_id) < max(doc_id)),
-f AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM w WHERE name IN (SELECT name FROM shared)),
-g AS (SELECT doc_id, i, sum(CASE WHEN before >= i - 150 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS island FROM f)
-SELECT doc_id, CAST(min(i) AS INT) AS span_start, CAST(max(i) + 150 AS INT) AS span_end FROM g GROUP BY doc_id, island
+    "p4_found": f"WITH {_SPANS} SELECT doc_id, span_start, span_end FROM spans",
+    "p4_totals": f"""
+WITH {_SPANS}, t AS (SELECT doc_id, sum(span_end - span_start) AS shared_chars, count(*) AS spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(length(text), 0) AS chars, CAST(coalesce(shared_chars, 0) AS BIGINT) AS shared_chars, coalesce(spans, 0) AS spans FROM documents d LEFT JOIN t USING (doc_id)
 """,
-    "p6_found": r"""
-WITH t AS (SELECT hit_id, regexp_extract_all(lower(any_value(text)), '[\p{L}\p{N}]+') AS words FROM cluster_hits WHERE text IS NOT NULL GROUP BY hit_id),
-p AS (SELECT hit_id, words, unnest(range(1, len(words) - 1)) AS i FROM t WHERE len(words) >= 3),
-g AS (SELECT DISTINCT hit_id, md5(words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) AS gram FROM p),
-n AS (SELECT hit_id, count(*) AS n FROM g GROUP BY hit_id),
-c AS (SELECT a.hit_id AS hit_a, b.hit_id AS hit_b, count(*) AS c FROM g a JOIN g b ON a.gram = b.gram AND a.hit_id < b.hit_id GROUP BY a.hit_id, b.hit_id)
-SELECT hit_a, hit_b FROM c JOIN n x ON x.hit_id = hit_a JOIN n y ON y.hit_id = hit_b WHERE c >= CAST(0.6 AS DOUBLE) * (x.n + y.n - c)
+    "p6_found": f"WITH {_similar('g', 3, 0.6)} SELECT a AS hit_a, b AS hit_b FROM alike",
+    "p6_groups": f"""
+WITH RECURSIVE {_similar('r', 5, 0.8)},
+l AS (SELECT a, b FROM alike UNION ALL SELECT b, a FROM alike),
+reach(id, other) AS (SELECT a, a FROM l UNION SELECT reach.id, l.b FROM reach JOIN l ON l.a = reach.other),
+k AS (SELECT id, min(other) AS least FROM reach GROUP BY id),
+d AS (SELECT a AS id, count(*) AS links FROM l GROUP BY a)
+SELECT t.id AS hit_id, coalesce(m.rep, t.id) AS class_hit, coalesce(k.least, m.rep, t.id) AS group_hit, coalesce(d.links, 0) AS links
+FROM (SELECT DISTINCT hit_id AS id FROM cluster_hits WHERE hit_id IS NOT NULL) t LEFT JOIN m ON m.id = t.id LEFT JOIN k ON k.id = m.rep LEFT JOIN d ON d.id = m.rep
 """,
     "p2_found": "SELECT doc_id FROM documents WHERE length(text) > 6000",
 }

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -125,12 +126,18 @@ def _repeated(text: str) -> list[tuple[int, int]]:
     lines = [(m.start(), m.end(), m[0].strip()) for m in re.finditer(r"(?m)^.*$", text)]
     numbers = [(k, int(m["n"])) for k, (_, _, x) in enumerate(lines) if x and (m := _COUNT.fullmatch(x))]
     out: set[int] = set()
-    chain: list[tuple[int, int]] = []
+    chain, counts = [], []  # lines and their numbers, which ascend
     for k, n in numbers:
-        after = [i for i, (_, x) in enumerate(chain) if 0 < n - x <= 2]
-        chain = [*chain[: after[-1] + 1], (k, n)] if after else [*chain, (k, n)] if not chain else chain if len(chain) >= PAGES else [(k, n)]
+        after = bisect_left(counts, n)
+        if after and n - counts[after - 1] <= 2:
+            del chain[after:], counts[after:]
+        elif len(chain) < PAGES:
+            chain, counts = [], []
+        else:
+            continue
+        chain.append(k), counts.append(n)
         if len(chain) >= PAGES:
-            out |= {i for i, _ in chain}
+            out |= set(chain[-PAGES:])
     places: dict[str, list[int]] = {}
     for k, (_, _, x) in enumerate(lines):
         if len(x) > 3 and not x.endswith((".", ",", ";", "!", "?")):
