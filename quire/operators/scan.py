@@ -32,27 +32,30 @@ def _local(key: str, value: str):
     return run
 
 
+def _carried(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sum of the partitions before that reaches into each partition, for its first key; partitions in order."""
+    rows = sorted(r for f in frames for r in f[["_pid", "_first", "_last", "_sum"]].itertuples(index=False, name=None))
+    key, total, out = None, 0, []
+    for pid, first, last, upto in rows:
+        out.append((pid, first, total if first == key else 0))
+        key, total = last, upto + (total if last == key else 0)
+    yield pd.DataFrame(out, columns=["_pid", "_first", "_carry"])
+
+
 def running_sum(df: DataFrame, key: str, order: str, value: str, to: str = "before") -> DataFrame:
     """``df`` with the sum of ``value`` over the rows before, of the same ``key``, by ``order``, in column ``to``.
 
     ``order`` must be unique within a key for a defined result (ties come in any order). Key, order and value must
-    not be null. An empty table stays empty. Only one row per partition and key at a partition's ends passes
-    through a single task.
+    not be null. An empty table stays empty. Only one row per partition passes through a single task.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = df.repartitionByRange(n, key, order).sortWithinPartitions(key, order)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", _pid int, _upto long"
     local = Scratch(spark, "scan").cut(ordered.mapInPandas(_local(key, value), schema))
-    # A key reaches into a partition only from partitions that end with it: one row each.
-    ends = local.groupBy("_pid").agg(F.max(F.struct(F.col(key), F.col("_upto"))).alias("x")).select("_pid", F.col(f"x.{key}").alias("_key"), F.col("x._upto").alias("_sum"))
-    firsts = local.groupBy("_pid").agg(F.min(key).alias("_first"))
-    carry = (
-        firsts.alias("p")
-        .join(ends.alias("e"), (F.col("p._first") == F.col("e._key")) & (F.col("e._pid") < F.col("p._pid")))
-        .groupBy(F.col("p._pid").alias("_pid"), F.col("p._first").alias("_first"))
-        .agg(F.sum("e._sum").alias("_carry"))
-    )
+    # One row per partition: its first key, and its last one with the sum there.
+    parts = local.groupBy("_pid").agg(F.min(key).alias("_first"), F.max(F.struct(F.col(key), F.col("_upto"))).alias("x")).select("_pid", "_first", F.col(f"x.{key}").alias("_last"), F.col("x._upto").alias("_sum"))
+    carry = parts.coalesce(1).mapInPandas(_carried, f"_pid int, _first {df.schema[key].dataType.simpleString()}, _carry long")
     with_carry = local.join(F.broadcast(carry), "_pid", "left")
     more = F.when(F.col("_first") == F.col(key), F.col("_carry")).otherwise(0)
     return with_carry.withColumn(to, F.col("_upto") - F.col(value) + F.coalesce(more, F.lit(0))).select(*df.columns, to)

@@ -12,6 +12,8 @@ def spark():
     session = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.codegen.wholeStage", "false")  # small tables: compiling takes longer than running
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
