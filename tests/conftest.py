@@ -10,10 +10,13 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
-        .config("spark.sql.shuffle.partitions", "4")
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.sql.codegen.wholeStage", "false")  # small tables: compiling takes longer than running
         .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+        .config("spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version", "2")
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "1000")
+        .config("spark.default.parallelism", "3")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
