@@ -96,6 +96,18 @@ def test_pipeline_finds_pairs_with_short_common_runs(spark):
     assert (r.q_id, r.h_id) == ("a", "b") and r.length >= 199
 
 
+def test_queries_find_what_the_pipeline_finds(spark, monkeypatch):
+    rng = random.Random(16)
+    core = "".join(rng.choice("untbdgfsmwipoehrlkcayjv") for _ in range(200))
+    noisy = "".join(("u" if c != "u" else "n") if i % 20 == 19 else c for i, c in enumerate(core))  # runs of 19
+    short = letters(rng, 24)  # too short for an expected number of 1e-15
+    texts = [("a", core), ("b", noisy), ("c", letters(rng, 60) + short + letters(rng, 60)), ("d", letters(rng, 70) + short + letters(rng, 50))]
+    docs = spark.createDataFrame([(*x, "t", "1900", "en", "s") for x in texts], "doc_id string, text string, title string, issue_date string, lang string, source string")
+    monkeypatch.setattr(queries, "_docs", lambda spark, sf: docs)
+    assert {("a", "b"), ("c", "d")} <= {(r.q_id, r.h_id) for r in queries.gapped_alignment(spark, "").collect()}
+    assert {"a", "b"} in [{d for d, _, _ in x} for x in parts(queries.reuse_pipeline(spark, "").collect())]
+
+
 def test_blocks_have_the_offsets_of_their_documents(spark):
     rng = random.Random(19)
     shared = letters(rng, 160)
