@@ -8,12 +8,17 @@ once from the rows of the links, round by round, so no cluster is held by one ta
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.alphabet import encode
+from quire.functions.edits import distances
+from quire.functions.sketch import code_arrays
 from quire.operators.align import local_alignments
 from quire.operators.scan import running_sum
 from quire.session import Scratch
@@ -109,10 +114,19 @@ def separated_all(hits: DataFrame, alphabet: str = "eng", share: float = 0.75, m
     return separate(whole, alphabet, share, min_count, max_count, e_value).unionAll(kept)
 
 
+def _edits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``hit_a, hit_b, distance`` of the pairs whose texts ``xa`` and ``xb`` differ by at most ``most`` edits."""
+    for b in batches:
+        found = distances(code_arrays(b.column("xa")), code_arrays(b.column("xb")), b.column("most").to_numpy())
+        at = pa.array(np.flatnonzero(found >= 0))
+        yield pa.RecordBatch.from_arrays([b.column("hit_a").take(at), b.column("hit_b").take(at), pa.array(found.astype(np.int32)).take(at)], ["hit_a", "hit_b", "distance"])
+
+
 def levenshtein_similar(hits: DataFrame, share: float = 0.75) -> DataFrame:
     """Pairs of hits of one cluster that are similar by edit distance: ``hit_a, hit_b, distance``.
 
-    ``hits``: ``hit_id, cluster_id, text`` and, if the distance is that of the codes, ``enc`` (without codes a hit has no pair).
+    ``hits``: ``hit_id, cluster_id, text`` (or its ``size``) and, if the distance is that of the codes, ``enc`` (without codes a
+    hit has no pair).
     With ``a`` the hit of the smaller id: ``share`` of its text's length is at most the other's, and at least that share of
     what is compared remains unchanged. The distance is at least the difference of the lengths, so a cluster's hits meet by
     blocks of length, each ``1 / share`` as long as the one before: similar ones are in the same block or in
@@ -121,14 +135,15 @@ def levenshtein_similar(hits: DataFrame, share: float = 0.75) -> DataFrame:
     what = "enc" if "enc" in hits.columns else "text"
     hits = hits.where("enc <> ''") if what == "enc" else hits
     block = F.when(F.length(what) > 0, F.floor(F.log(F.length(what).cast("double")) / -math.log(share))).otherwise(-1)
-    own = hits.select("cluster_id", "hit_id", F.col(what).alias("x"), F.length("text").alias("size"), block.alias("at"))
+    own = hits.select("cluster_id", "hit_id", F.col(what).alias("x"), (F.col("size") if "size" in hits.columns else F.length("text")).alias("size"), block.alias("at"))
     a = own.select("cluster_id", F.col("hit_id").alias("hit_a"), F.col("x").alias("xa"), F.col("size").alias("na"), F.explode(F.sequence(F.col("at") - 1, F.col("at") + 1)).alias("at"))
     b = own.select("cluster_id", F.col("hit_id").alias("hit_b"), F.col("x").alias("xb"), F.col("size").alias("nb"), "at")
     n = F.length("xa")
     close = F.abs(n - F.length("xb")) <= F.floor(n * (1 - share))
     near = a.join(b, ["cluster_id", "at"]).where((F.col("hit_a") < F.col("hit_b")) & (F.col("na") * share <= F.col("nb")) & close)
-    most = near.withColumn("most", F.floor(n * (1 - share)).cast("int"))  # a bound ends the comparison early
-    return most.withColumn("distance", F.expr("levenshtein(xa, xb, most)")).where("distance >= 0").select("hit_a", "hit_b", "distance")
+    kind = hits.schema["hit_id"].dataType.simpleString()
+    most = near.select("hit_a", "hit_b", "xa", "xb", F.floor(n * (1 - share)).cast("int").alias("most"))  # a bound ends the comparison early
+    return most.mapInArrow(_edits, f"hit_a {kind}, hit_b {kind}, distance int")
 
 
 def separate_by_edits(hits: DataFrame, alphabet: str = "eng", share: float = 0.75, min_count: int = MIN_COUNT, max_count: int | None = None, farthest: bool = False) -> DataFrame:

@@ -1,9 +1,12 @@
 """Scalar functions against vectors derived by hand."""
 
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quire.functions import alphabet, nodes
+from quire.functions import alphabet, edits, nodes
 
 
 def one(spark, column, **values):
@@ -66,3 +69,29 @@ def test_node_strings(spark):
 def test_natural_order(spark):
     df = spark.createDataFrame([("d10",), ("d9",), ("d1b",), ("a",)], ["d"])
     assert [r.d for r in df.orderBy(nodes.natural_key(F.col("d"))).collect()] == ["a", "d1b", "d9", "d10"]
+
+
+def test_edit_distances_of_many_pairs():
+    """Texts that end before, at and behind the ends of words, far ones, empty ones, several alphabets at once."""
+
+    def one_by_one(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rng, pairs = random.Random(31), []
+    for k in range(300):
+        letters = ("ab", "abcdefghijklmnop", "abä€𝄞")[k % 3]
+        a = [rng.choice(letters) for _ in range(rng.choice([0, 1, 62, 63, 126, 127, 190]) + rng.randrange(4))]
+        b = list(a) if k % 4 else [rng.choice(letters) for _ in range(rng.randrange(200))]
+        for _ in range(rng.randrange(50)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randrange(2)] = rng.choice(["", *letters])
+        pairs.append(("".join(a), "".join(b), int(len(a) * rng.choice([0.05, 0.25, 0.5, 2]))))
+    codes = [[np.frombuffer(p[i].encode("utf-32-le"), np.uint32) for p in pairs] for i in (0, 1)]
+    want = [d if (d := one_by_one(a, b)) <= most else -1 for a, b, most in pairs]
+    assert edits.distances(*codes, np.array([p[2] for p in pairs])).tolist() == want and 50 < sum(d >= 0 for d in want) < 290
+    assert edits.distances([], [], np.zeros(0, int)).tolist() == []
