@@ -154,3 +154,18 @@ def test_recall_against_words_of_six(spark):
     c = ReuseConfig()
     every = pairs(align.local_alignments(df, word=6, seed=6, reach=1))
     assert len(every) >= 40 and len(pairs(align.local_alignments(df, c.word, c.seed, c.reach)) & every) >= 0.9 * len(every)
+
+
+def test_shared_kmers_write_few_windows(spark, monkeypatch):
+    """Pairs like those of sets, in few rows: windows that no other text can have aren't written."""
+    rng = random.Random(22)
+    phrase = letters(rng, 45)
+    texts = {f"t{i}": letters(rng, 400) + (phrase[i % 3 :] + letters(rng, 5) + phrase[:40] if i % 2 else "é" * (40 + i)) for i in range(30)} | {"copy": letters(rng, 90)}
+    texts |= {"copy2": texts["copy"], "short": phrase[:29], "just": phrase[:30], "none": None}
+    df = spark.createDataFrame(list(texts.items()), "doc_id string, enc string")
+    sizes, cut = [], align.Scratch.cut
+    monkeypatch.setattr(align.Scratch, "cut", lambda self, x: sizes.append((out := cut(self, x)).count()) or out)
+    got = {tuple(r) for r in align.shared_kmers(df, 30).collect()}
+    sets = {d: {t[i : i + 30] for i in range(len(t) - 29)} for d, t in texts.items() if t and d != "copy2"}
+    assert got == {(a, b, len(sets[a] & sets[b])) for a in sets for b in sets if a < b and sets[a] & sets[b]} and len(got) > 200
+    assert max(sizes) < sum(map(len, sets.values())) / 4
