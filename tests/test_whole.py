@@ -1,5 +1,6 @@
 """Operators against the whole job: nothing that a class, a bound or a seed might leave out."""
 
+import os
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from quire.operators import align, clusters, separate
 from quire.plans import queries
 from quire.plans.pipeline import ReuseConfig, TextReuse
+from quire.session import Scratch
 
 
 def letters(rng, n):
@@ -169,3 +171,29 @@ def test_shared_kmers_write_few_windows(spark, monkeypatch):
     sets = {d: {t[i : i + 30] for i in range(len(t) - 29)} for d, t in texts.items() if t and d != "copy2"}
     assert got == {(a, b, len(sets[a] & sets[b])) for a in sets for b in sets if a < b and sets[a] & sets[b]} and len(got) > 200
     assert max(sizes) < sum(map(len, sets.values())) / 4
+
+
+def test_pipeline_leaves_only_tables_that_its_results_read(spark, monkeypatch):
+    """And moves texts compressed: a class is found by names of codes, a chunk of texts is one value."""
+    rng = random.Random(23)
+    shared = letters(rng, 90)
+    texts = {f"d{i}": letters(rng, 40) + shared + letters(rng, 40) for i in range(4)} | {"other": letters(rng, 200), "none": None}
+    texts |= {"same": texts["d0"] + " 1871", "x": "uu"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    made, cut = {}, Scratch.cut
+
+    def watched(self, df):
+        out = cut(self, df)
+        made[self._paths[id(out)].removeprefix("file://")] = df.columns
+        return out
+
+    monkeypatch.setattr(Scratch, "cut", watched)
+    reuse = TextReuse(ReuseConfig(alphabet="eng", min_length=50))
+    got = reuse.run(docs)
+    left = [columns for path, columns in made.items() if os.path.exists(path)]
+    assert len(left) == 3 and ["cluster_id", "doc_id", "s", "e"] in left and ["doc_id", "rep", "n"] in left
+    assert not any("encs" in columns for columns in made.values())
+    assert {r.doc_id for r in got["hits"].collect()} == {"d0", "d1", "d2", "d3", "same"} and got["hsp"].count() == 6
+    encoded = got["encoded"]
+    assert {tuple(r) for r in got["members"].collect()} == {(r.doc_id, r.rep, len(r.enc)) for r in align.classes(encoded).collect()}
+    assert sorted(got["hsp"].collect()) == sorted(reuse.alignments(encoded).collect())
